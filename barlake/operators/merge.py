@@ -1,0 +1,208 @@
+"""Upsert into the bar table."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+
+from barlake.operators.months import loaded_months
+from barlake.operators.table import clustered, with_month
+from barlake.schema import MONTH_COLUMN
+from barlake.session import shared_dir
+
+DEFAULT_KEYS = ("event_time",)
+
+_ACTION = "merge_action"
+
+
+@dataclass(frozen=True)
+class MergeResult:
+    """Row counts of one merge, and the rows without a key that were kept out."""
+
+    source: int
+    updated: int
+    inserted: int
+    rejected: int
+    rejects: DataFrame
+
+
+def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
+    """Target rows after an upsert of ``source``, with what became of each in ``merge_action``.
+
+    A target row whose key is in the source takes the source's values
+    (``updated``), the others stay (``kept``); source rows without a target row
+    are added (``inserted``). Keys match by equality, so a NULL key never does.
+    Two source rows for one target row are an error, raised when the rows are
+    computed; source rows that match nothing may share a key.
+    """
+    columns = target.columns
+    values = [c for c in columns if c not in keys]
+    # Grouping by key first shrinks a key with many copies before the shuffle,
+    # and gives the count the error rule needs.
+    by_key = source.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("source_rows"), *(F.any_value(c).alias(f"new_{c}") for c in values)
+    )
+    joined = target.join(by_key, list(keys), "left")
+    hit = F.col("source_rows").isNotNull()
+    action = (
+        F.when(F.col("source_rows") > 1, F.raise_error(F.lit("several source rows match one target row")))
+        .when(hit, "updated")
+        .otherwise("kept")
+    )
+    present = joined.select(
+        *(F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in values else c for c in columns),
+        action.alias(_ACTION),
+    )
+    new = source.select(*columns).join(target.select(*keys).distinct(), list(keys), "left_anti")
+    return present.unionByName(new.select(*columns, F.lit("inserted").alias(_ACTION)))
+
+
+def merge(target: DataFrame, source: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
+    """Target rows after an upsert of ``source``."""
+    return merge_actions(target, source, keys).drop(_ACTION)
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+
+
+def _stage(spark: SparkSession, source: DataFrame) -> DataFrame:
+    """Write the source once to the shared folder and read it back.
+
+    The upsert reads its source several times. A stored copy is parsed once,
+    gives every read the same rows, and does not have to be computed again when
+    executors are lost.
+    """
+    path = shared_dir(spark, "stage")
+    source.write.parquet(path)
+    return spark.read.schema(source.schema).parquet(path)
+
+
+def _months_in(staged: DataFrame, keys: Sequence[str], unit: str | None) -> list:
+    """One row per month of the source: rows, rows without a key, and whether units may clash.
+
+    Units that share no key cannot clash. With the symbol in the key, only a row
+    outside the month of its unit can meet a row of another unit.
+    """
+    if unit is None:
+        clash = F.lit(False)
+    elif "symbol" in keys:
+        clash = F.bool_or(F.substring(unit, 1, 7) != F.date_format(MONTH_COLUMN, "yyyy-MM"))
+    else:
+        clash = F.min(unit) != F.max(unit)
+    return (
+        staged.groupBy(MONTH_COLUMN)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(_any_null(keys)).alias("rejected"),
+            F.coalesce(clash, F.lit(False)).alias("clash"),
+        )
+        .collect()
+    )
+
+
+def _last_unit_wins(source: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
+    """What loading the units one after another would leave of rows that share a key.
+
+    The first unit inserts its rows, each later one overwrites them, so the last
+    unit's values remain, once per row of the first. A later unit with several
+    rows for the key is the same error as in the merge.
+    """
+    per_unit = source.groupBy(*keys, unit).agg(F.count(F.lit(1)).alias("n"))
+    shared = (
+        per_unit.groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("units"),
+            F.max(unit).alias("last_unit"),
+            F.min(F.struct(unit, "n"))["n"].alias("copies"),
+            F.count_if(F.col("n") > 1).alias("repeated"),
+        )
+        .filter("units > 1")
+        .select(
+            *keys,
+            "last_unit",
+            F.when(
+                F.col("repeated") > F.when(F.col("copies") > 1, 1).otherwise(0),
+                F.raise_error(F.lit("several source rows match one target row")),
+            )
+            .otherwise(F.col("copies"))
+            .cast("int")
+            .alias("copies"),
+        )
+    )
+    joined = source.join(shared, list(keys), "left")
+    alone = joined.filter(F.col("last_unit").isNull()).select(*source.columns)
+    last = joined.filter(F.col("last_unit") == F.col(unit))
+    repeated = last.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return alone.unionByName(repeated.select(*source.columns))
+
+
+def _in_months(months: list[dt.date | None]) -> Column:
+    """Literal month predicate, which prunes partitions where a join would not."""
+    known = F.col(MONTH_COLUMN).isin([m for m in months if m is not None])
+    return known | F.col(MONTH_COLUMN).isNull() if None in months else known
+
+
+def merge_into(
+    spark: SparkSession,
+    table: str,
+    source: DataFrame,
+    keys: Sequence[str] = DEFAULT_KEYS,
+    unit: str | None = None,
+    null_keys: str = "reject",
+) -> MergeResult:
+    """Upsert ``source`` into ``table``, rewriting only the months it has rows for.
+
+    A row goes to the month of its own time. Months the table does not hold yet
+    are written without any join. Rows without a key are kept out and returned
+    in ``rejects``; with ``null_keys="insert"`` they are inserted, again on every
+    call, as equality makes them. ``unit`` names a column that orders units
+    loaded together, see ``_last_unit_wins``.
+
+    Months are swapped one by one at the end of the write and the table has no
+    snapshots: one writer at a time, and a reader may see some months before others.
+    """
+    if null_keys not in ("reject", "insert"):
+        raise ValueError(f"unknown null_keys: {null_keys}")
+    columns = spark.table(table).columns
+    staged = _stage(spark, with_month(source).select(*columns, *([unit] if unit else [])))
+    summary = _months_in(staged, keys, unit)
+    rows = sum(m["rows"] for m in summary)
+    rejected, rejects, usable = 0, staged.filter(F.lit(False)), staged
+    if null_keys == "reject":
+        rejected = sum(m["rejected"] for m in summary)
+        rejects, usable = staged.filter(_any_null(keys)), staged.filter(~_any_null(keys))
+        summary = [m for m in summary if m["rows"] > m["rejected"]]
+    if not summary:
+        return MergeResult(rows, 0, 0, rejected, rejects)
+
+    months = [m[MONTH_COLUMN] for m in summary]
+    clashing = [m[MONTH_COLUMN] for m in summary if m["clash"]]
+    if clashing:
+        mixed = _last_unit_wins(usable.filter(_in_months(clashing)), keys, unit)
+        plain = [m for m in months if m not in clashing]
+        usable = mixed.unionByName(usable.filter(_in_months(plain))) if plain else mixed
+    usable = usable.select(*columns)
+
+    loaded = {row[MONTH_COLUMN] for row in loaded_months(spark, table).collect()} | {None}
+    held, new = [m for m in months if m in loaded], [m for m in months if m not in loaded]
+    parts = []
+    if new:
+        parts.append(usable.filter(_in_months(new)).withColumn(_ACTION, F.lit("inserted")))
+    if held:
+        target = spark.table(table).filter(_in_months(held))
+        parts.append(merge_actions(target, usable.filter(_in_months(held)), keys))
+
+    # Counted behind the last shuffle: tasks that are run again after a loss are
+    # counted once there.
+    counted = Observation()
+    result = clustered(reduce(DataFrame.unionByName, parts), MONTH_COLUMN).observe(
+        counted, *(F.count_if(F.col(_ACTION) == a).alias(a) for a in ("updated", "inserted"))
+    )
+    ordered = result.select(*columns).sortWithinPartitions(MONTH_COLUMN, "event_time")
+    ordered.write.mode("overwrite").insertInto(table)
+    return MergeResult(rows, counted.get["updated"], counted.get["inserted"], rejected, rejects)
