@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from barlake.operators.table import clustered, ensure_table
+from barlake.operators.table import clustered, ensure_table, table_location
 from barlake.schema import RAW_COLUMNS, RAW_SCHEMA, UNIT_COLUMNS
 from barlake.sources.archives import archive_manifest, read_archives, unzip_lines
 from barlake.sources.manifest import landed_units, missing_from
@@ -54,12 +54,11 @@ def land_archives(
     if not force:
         wanted = missing_from(wanted, landed_units(spark, landing))
     lines = unzip_lines(read_archives(spark, archives, wanted))
-    location = spark.sql(f"DESCRIBE FORMATTED {landing}").filter("col_name = 'Location'").first()["data_type"]
     (
         lines.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*UNIT_COLUMNS)
-        .text(location)
+        .text(table_location(spark, landing))
     )
     spark.sql(f"ALTER TABLE {landing} RECOVER PARTITIONS")
     spark.catalog.refreshTable(landing)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.calendar import utc_literal
+from barlake.operators.table import table_location
 from barlake.schema import MONTH_COLUMN
 from barlake.sources.manifest import partition_value
 
@@ -54,6 +56,32 @@ def loaded_months(spark: SparkSession, table: str) -> DataFrame:
     return months.select(F.col(MONTH_COLUMN).try_cast("date").alias(MONTH_COLUMN)).na.drop()
 
 
+def months_not_loaded(spark: SparkSession, table: str, months: list[dt.date]) -> list[dt.date]:
+    """Those of ``months`` without rows, by catalog and by folder.
+
+    A month can be on disk without being in the catalog, after a driver was lost
+    between the two or when another session wrote it. Taken for new it would be
+    overwritten, so such months are registered first.
+    """
+    loaded = {row[MONTH_COLUMN] for row in loaded_months(spark, table).collect()}
+    absent = [m for m in months if m not in loaded]
+    if not absent:
+        return []
+    folders = ",".join(str(m) for m in absent)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        found = files.load(f"{table_location(spark, table)}/{MONTH_COLUMN}={{{folders}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return absent
+    month = F.regexp_extract("path", f"/{MONTH_COLUMN}=([^/]+)/", 1).cast("date")
+    on_disk = {row[0] for row in found.select(month).distinct().collect()}
+    for found_month in sorted(on_disk):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({MONTH_COLUMN} = DATE'{found_month}')")
+    return [m for m in absent if m not in on_disk]
+
+
 def loaded_units(spark: SparkSession, table: str, first: dt.date, last: dt.date) -> DataFrame:
     """(symbol, month) pairs with rows between two months; reads the symbol column only."""
     bars = spark.table(table).filter(F.col(MONTH_COLUMN).between(F.lit(first), F.lit(last)))

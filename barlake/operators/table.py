@@ -35,6 +35,11 @@ def ensure_table(spark: SparkSession, table: str, columns: str, source: str, par
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
+
+
 def create_bar_table(spark: SparkSession, table: str, location: str, with_symbol: bool = False) -> None:
     """Bar table partitioned by ``event_month``; ``with_symbol`` for tables of many symbols."""
     symbol = "symbol STRING, " if with_symbol else ""

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from barlake.operators.months import loaded_months
+from barlake.operators.months import months_not_loaded
 from barlake.operators.table import clustered, with_month
 from barlake.schema import MONTH_COLUMN
 from barlake.session import shared_dir
@@ -30,6 +30,12 @@ class MergeResult:
     rejects: DataFrame
 
 
+def _at_most_one(rows: Column) -> Column:
+    """True, or an error for more than one row. As a filter it is never optimized away."""
+    error = F.raise_error(F.lit("several source rows match one target row"))
+    return F.when(rows > 1, error.cast("boolean")).otherwise(True)
+
+
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
     """Target rows after an upsert of ``source``, with what became of each in ``merge_action``.
 
@@ -46,19 +52,17 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str] = DE
     by_key = source.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("source_rows"), *(F.any_value(c).alias(f"new_{c}") for c in values)
     )
-    joined = target.join(by_key, list(keys), "left")
+    joined = target.join(by_key, list(keys), "left").filter(_at_most_one(F.col("source_rows")))
     hit = F.col("source_rows").isNotNull()
-    action = (
-        F.when(F.col("source_rows") > 1, F.raise_error(F.lit("several source rows match one target row")))
-        .when(hit, "updated")
-        .otherwise("kept")
-    )
     present = joined.select(
         *(F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in values else c for c in columns),
-        action.alias(_ACTION),
+        F.when(hit, "updated").otherwise("kept").alias(_ACTION),
     )
-    new = source.select(*columns).join(target.select(*keys).distinct(), list(keys), "left_anti")
-    return present.unionByName(new.select(*columns, F.lit("inserted").alias(_ACTION)))
+    # The semi join cuts the target's keys down to the source's before they are
+    # shuffled; with a small source Spark broadcasts it.
+    taken = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    new = source.select(*columns).join(taken, list(keys), "left_anti")
+    return present.unionByName(new.withColumn(_ACTION, F.lit("inserted")))
 
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
@@ -105,40 +109,31 @@ def _months_in(staged: DataFrame, keys: Sequence[str], unit: str | None) -> list
     )
 
 
-def _last_unit_wins(source: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
-    """What loading the units one after another would leave of rows that share a key.
+def _one_unit_after_another(source: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
+    """What loading the units in turn would leave of rows that share a key.
 
-    The first unit inserts its rows, each later one overwrites them, so the last
-    unit's values remain, once per row of the first. A later unit with several
-    rows for the key is the same error as in the merge.
+    The first unit inserts its rows and each later one overwrites their values,
+    so the first unit's rows stay and carry the last unit's values. A later unit
+    with several rows for the key is the same error as in the merge.
     """
-    per_unit = source.groupBy(*keys, unit).agg(F.count(F.lit(1)).alias("n"))
-    shared = (
-        per_unit.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("units"),
-            F.max(unit).alias("last_unit"),
-            F.min(F.struct(unit, "n"))["n"].alias("copies"),
-            F.count_if(F.col("n") > 1).alias("repeated"),
-        )
-        .filter("units > 1")
-        .select(
-            *keys,
-            "last_unit",
-            F.when(
-                F.col("repeated") > F.when(F.col("copies") > 1, 1).otherwise(0),
-                F.raise_error(F.lit("several source rows match one target row")),
-            )
-            .otherwise(F.col("copies"))
-            .cast("int")
-            .alias("copies"),
-        )
+    values = [c for c in source.columns if c not in (*keys, unit)]
+    per_unit = source.groupBy(*keys, unit).agg(
+        F.count(F.lit(1)).alias("n"), F.any_value(F.struct(*values)).alias("new")
+    )
+    per_key = per_unit.groupBy(*keys).agg(
+        F.min(F.struct(unit, "n")).alias("first"),
+        F.max(unit).alias("last"),
+        F.max_by("new", unit).alias("new"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+    )
+    later_repeats = F.col("repeated") - (F.col("first.n") > 1).cast("int")
+    joined = source.join(per_key.filter(_at_most_one(later_repeats + 1)), list(keys), "left")
+    first = F.col(f"first.{unit}")
+    stay = joined.filter(first.isNull() | (F.col(unit) == first))
+    overwritten = F.col("last") != first
+    return stay.select(
+        *(F.when(overwritten, F.col("new")[c]).otherwise(F.col(c)).alias(c) if c in values else c for c in source.columns)
     )
-    joined = source.join(shared, list(keys), "left")
-    alone = joined.filter(F.col("last_unit").isNull()).select(*source.columns)
-    last = joined.filter(F.col("last_unit") == F.col(unit))
-    repeated = last.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return alone.unionByName(repeated.select(*source.columns))
 
 
 def _in_months(months: list[dt.date | None]) -> Column:
@@ -161,7 +156,7 @@ def merge_into(
     are written without any join. Rows without a key are kept out and returned
     in ``rejects``; with ``null_keys="insert"`` they are inserted, again on every
     call, as equality makes them. ``unit`` names a column that orders units
-    loaded together, see ``_last_unit_wins``.
+    loaded together, see ``_one_unit_after_another``.
 
     Months are swapped one by one at the end of the write and the table has no
     snapshots: one writer at a time, and a reader may see some months before others.
@@ -183,13 +178,13 @@ def merge_into(
     months = [m[MONTH_COLUMN] for m in summary]
     clashing = [m[MONTH_COLUMN] for m in summary if m["clash"]]
     if clashing:
-        mixed = _last_unit_wins(usable.filter(_in_months(clashing)), keys, unit)
+        mixed = _one_unit_after_another(usable.filter(_in_months(clashing)), keys, unit)
         plain = [m for m in months if m not in clashing]
         usable = mixed.unionByName(usable.filter(_in_months(plain))) if plain else mixed
     usable = usable.select(*columns)
 
-    loaded = {row[MONTH_COLUMN] for row in loaded_months(spark, table).collect()} | {None}
-    held, new = [m for m in months if m in loaded], [m for m in months if m not in loaded]
+    new = months_not_loaded(spark, table, [m for m in months if m is not None])
+    held = [m for m in months if m not in new]
     parts = []
     if new:
         parts.append(usable.filter(_in_months(new)).withColumn(_ACTION, F.lit("inserted")))

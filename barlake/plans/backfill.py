@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.calendar import month_start, zero_pad
 from barlake.operators.landing import land_archives
-from barlake.operators.merge import DEFAULT_KEYS, MergeResult
+from barlake.operators.upsert import DEFAULT_KEYS, MergeResult
 from barlake.operators.months import loaded_months, loaded_units
 from barlake.plans.load import load_units
 from barlake.schema import MONTH_COLUMN, UNIT_COLUMNS

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barlake.functions.bars import to_bars
 from barlake.functions.calendar import month_start
 from barlake.operators.landing import scan_landed
-from barlake.operators.merge import DEFAULT_KEYS, MergeResult, merge_into
-from barlake.operators.months import loaded_months, month_exists
+from barlake.operators.upsert import DEFAULT_KEYS, MergeResult, merge_into
+from barlake.operators.months import month_exists, months_not_loaded
 from barlake.operators.table import append_bars
 from barlake.schema import MONTH_COLUMN, UNIT_SCHEMA
 from barlake.sources.manifest import landed_units, missing_from
@@ -77,6 +77,7 @@ def append_if_missing(
     ``load_units`` for that.
     """
     planned = landed_units(spark, landing) if units is None else units
-    months = planned.withColumn(MONTH_COLUMN, month_start(F.col("year"), F.col("month")))
-    missing = months.join(loaded_months(spark, table), MONTH_COLUMN, "left_anti")
+    due = planned.withColumn(MONTH_COLUMN, month_start(F.col("year"), F.col("month")))
+    months = [row[MONTH_COLUMN] for row in due.select(MONTH_COLUMN).distinct().collect()]
+    missing = due.filter(F.col(MONTH_COLUMN).isin(months_not_loaded(spark, table, months)))
     append_bars(spark, table, to_bars(scan_landed(spark, landing, missing), time_unit))

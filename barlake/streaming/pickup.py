@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.bars import to_bars
-from barlake.operators.merge import DEFAULT_KEYS, merge_into
+from barlake.operators.upsert import DEFAULT_KEYS, merge_into
 from barlake.schema import RAW_SCHEMA, UNIT_SCHEMA
 from barlake.sources.units import unit_label
 

@@ -1,0 +1,91 @@
+import datetime as dt
+import uuid
+import zipfile
+
+import pytest
+from pyspark.sql import SparkSession
+
+from barlake.operators import create_bar_table, create_landing_table
+from barlake.schema import RAW_SCHEMA, UNIT_SCHEMA
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+@pytest.fixture
+def new_york(spark):
+    """A session zone in which the first hours of a UTC month are in the month before."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield spark
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.fixture
+def make_table(spark, tmp_path):
+    def make(with_symbol=False):
+        table = f"bars_test.t{uuid.uuid4().hex}"
+        create_bar_table(spark, table, str(tmp_path / table), with_symbol)
+        return table
+
+    return make
+
+
+@pytest.fixture
+def make_landing(spark, tmp_path):
+    def make():
+        landing = f"bars_test.l{uuid.uuid4().hex}"
+        create_landing_table(spark, landing, str(tmp_path / landing))
+        return landing
+
+    return make
+
+
+def ms(text):
+    """Epoch milliseconds of a UTC time such as ``2023-01-31 23:59``."""
+    return int(dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+
+def raw_row(time, close=1.0):
+    start = time if isinstance(time, int) or time is None else ms(time)
+    return (start, 1.0, 2.0, 0.5, close, 10.0, None if start is None else start + 59999, 20.0, 3, 4.0, 5.0, "0")
+
+
+def raw_frame(spark, rows):
+    """Raw rows with unit columns from (symbol, year, month, time, close)."""
+    from pyspark.sql.types import StructType
+
+    schema = StructType([*RAW_SCHEMA.fields, *UNIT_SCHEMA.fields])
+    return spark.createDataFrame([(*raw_row(t, c), s, y, m) for s, y, m, t, c in rows], schema)
+
+
+def csv_line(time, close=1.0):
+    return ",".join("" if v is None else str(v) for v in raw_row(time, close))
+
+
+def write_zip(path, text, member="bars.csv"):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr(member, text)
+
+
+def bars(table_rows):
+    """(event_time, close) pairs, sorted, for comparing tables."""
+    key = lambda pair: (pair[0] is not None, pair)
+    return sorted(((r["event_time"], r["close"]) for r in table_rows.select("event_time", "close").collect()), key=key)
+
+
+def at(text):
+    return dt.datetime.fromisoformat(text)
