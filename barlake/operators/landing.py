@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.operators.table import clustered, ensure_table, table_location
+from barlake.operators.table import clustered, current, ensure_table, table_location
 from barlake.schema import RAW_COLUMNS, RAW_SCHEMA, UNIT_COLUMNS
 from barlake.sources.archives import archive_manifest, read_archives, unzip_lines
 from barlake.sources.manifest import landed_units, missing_from
@@ -24,7 +24,7 @@ def create_landing_table(spark: SparkSession, landing: str, location: str) -> No
 
 def scan_landed(spark: SparkSession, landing: str, units: DataFrame | None = None) -> DataFrame:
     """Raw rows of the landed units, all of them in one scan."""
-    raw = spark.table(landing)
+    raw = current(spark, landing)
     return raw if units is None else only_units(raw, units)
 
 

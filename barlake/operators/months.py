@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.calendar import utc_literal
-from barlake.operators.table import table_location
+from barlake.operators.table import current, table_location
 from barlake.schema import MONTH_COLUMN
 from barlake.sources.manifest import partition_value
 
@@ -41,7 +41,7 @@ def month_exists(
     spark: SparkSession, table: str, year: int | str, month: int | str, symbol: str | None = None
 ) -> DataFrame:
     """One row with ``row_exists``: does the month hold any row? Stops at the first row found."""
-    probe = month_range(spark.table(table), year, month, symbol).select(F.lit(1).alias("one")).limit(1)
+    probe = month_range(current(spark, table), year, month, symbol).select(F.lit(1).alias("one")).limit(1)
     return probe.agg((F.count("one") > 0).alias("row_exists")).select(
         F.lit(_first_day(year, month)).alias(MONTH_COLUMN), "row_exists"
     )
@@ -84,7 +84,7 @@ def months_not_loaded(spark: SparkSession, table: str, months: list[dt.date]) ->
 
 def loaded_units(spark: SparkSession, table: str, first: dt.date, last: dt.date) -> DataFrame:
     """(symbol, month) pairs with rows between two months; reads the symbol column only."""
-    bars = spark.table(table).filter(F.col(MONTH_COLUMN).between(F.lit(first), F.lit(last)))
+    bars = current(spark, table).filter(F.col(MONTH_COLUMN).between(F.lit(first), F.lit(last)))
     return bars.select("symbol", MONTH_COLUMN).distinct()
 
 

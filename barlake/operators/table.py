@@ -35,6 +35,17 @@ def ensure_table(spark: SparkSession, table: str, columns: str, source: str, par
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now.
+
+    A session keeps the file listing of its first read. Files that another
+    session has added since would be missing from it, and a rewrite of their
+    month would lose them.
+    """
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'")
     return described.first()["data_type"].rstrip("/")

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from barlake.operators.months import months_not_loaded
-from barlake.operators.table import clustered, with_month
+from barlake.operators.table import clustered, current, with_month
 from barlake.schema import MONTH_COLUMN
 from barlake.session import shared_dir
 
@@ -189,7 +189,7 @@ def merge_into(
     if new:
         parts.append(usable.filter(_in_months(new)).withColumn(_ACTION, F.lit("inserted")))
     if held:
-        target = spark.table(table).filter(_in_months(held))
+        target = current(spark, table).filter(_in_months(held))
         parts.append(merge_actions(target, usable.filter(_in_months(held)), keys))
 
     # Counted behind the last shuffle: tasks that are run again after a loss are

@@ -36,7 +36,9 @@ def pick_up_landed(
     bars = to_bars(landed.withColumn(_UNIT_LABEL, unit_label()), time_unit)
 
     def upsert(batch: DataFrame, _: int) -> None:
-        merge_into(batch.sparkSession, table, batch, keys, unit=_UNIT_LABEL)
+        # The caller's session, not the stream's copy of it: its view of the table
+        # stays current, and it has adaptive execution, which a stream turns off.
+        merge_into(spark, table, batch, keys, unit=_UNIT_LABEL)
 
     return (
         bars.writeStream.trigger(availableNow=True)

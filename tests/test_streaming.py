@@ -1,0 +1,28 @@
+from barlake.operators import land_raw
+from barlake.operators.table import table_location
+from barlake.streaming import pick_up_landed
+from conftest import bars, raw_frame
+
+
+def test_each_file_is_picked_up_once(spark, make_landing, make_table, tmp_path):
+    landing, table = make_landing(), make_table()
+    run = lambda: pick_up_landed(
+        spark, table_location(spark, landing), table, str(tmp_path / "checkpoint"), max_files=1
+    ).awaitTermination()
+    closes = lambda: [c for _, c in bars(spark.table(table))]
+    rows = [("A", "2023", m, f"2023-{m}-01 00:00", float(m)) for m in ("01", "02")]
+    land_raw(spark, landing, raw_frame(spark, rows))
+    run()
+    assert closes() == [1.0, 2.0]
+
+    spark.sql(f"ALTER TABLE {table} DROP PARTITION (event_month = date'2023-01-01')")
+    run()
+    assert closes() == [2.0]  # nothing new, so nothing was loaded again
+
+    land_raw(spark, landing, raw_frame(spark, [("A", "2023", "03", "2023-03-01 00:00", 3.0)]))
+    run()
+    assert closes() == [2.0, 3.0]
+
+    land_raw(spark, landing, raw_frame(spark, [("A", "2023", "03", "2023-03-01 00:00", 7.0)]), force=True)
+    run()
+    assert closes() == [2.0, 7.0]

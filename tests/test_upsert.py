@@ -216,3 +216,13 @@ def test_first_load_has_no_join(spark, make_table, monkeypatch):
 
     monkeypatch.setattr(upsert, "merge_actions", lambda *_: pytest.fail("joined"))
     merge_into(spark, make_table(), frame(spark, [("2023-01-01 00:00", 1.0)]))
+
+
+def test_rows_added_by_another_session_survive(spark, make_table):
+    table = make_table()
+    append_bars(spark, table, frame(spark, [("2023-01-01 00:00", 1.0)]))
+    assert spark.table(table).count() == 1
+    other = spark.newSession()
+    append_bars(other, table, frame(other, [("2023-01-02 00:00", 2.0)]))
+    merge_into(spark, table, frame(spark, [("2023-01-03 00:00", 3.0)]))
+    assert [c for _, c in bars(spark.table(table))] == [1.0, 2.0, 3.0]
