@@ -67,16 +67,17 @@ def months_not_loaded(spark: SparkSession, table: str, months: list[dt.date]) ->
     absent = [m for m in months if m not in loaded]
     if not absent:
         return []
-    folders = ",".join(str(m) for m in absent)
+    # The marker of earlier writes is there in any case, so the pattern finds something.
+    folders = ",".join(["_SUCCESS", *(f"{MONTH_COLUMN}={m}" for m in absent)])
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        found = files.load(f"{table_location(spark, table)}/{MONTH_COLUMN}={{{folders}}}")
+        found = files.load(f"{table_location(spark, table)}/{{{folders}}}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return absent
-    month = F.regexp_extract("path", f"/{MONTH_COLUMN}=([^/]+)/", 1).cast("date")
-    on_disk = {row[0] for row in found.select(month).distinct().collect()}
+    month = F.regexp_extract("path", f"/{MONTH_COLUMN}=([^/]+)/", 1).try_cast("date").alias(MONTH_COLUMN)
+    on_disk = {row[0] for row in found.select(month).na.drop().distinct().collect()}
     for found_month in sorted(on_disk):
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({MONTH_COLUMN} = DATE'{found_month}')")
     return [m for m in absent if m not in on_disk]

@@ -17,6 +17,7 @@ from barlake.session import shared_dir
 DEFAULT_KEYS = ("event_time",)
 
 _ACTION = "merge_action"
+_ROWS = "source_rows"
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,43 @@ def _at_most_one(rows: Column) -> Column:
     return F.when(rows > 1, error.cast("boolean")).otherwise(True)
 
 
+def _by_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per source key with its values and the number of rows it had.
+
+    Grouping shrinks a key with many copies before the shuffle.
+    """
+    values = [c for c in source.columns if c not in keys]
+    return source.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(_ROWS), *(F.any_value(c).alias(f"new_{c}") for c in values)
+    )
+
+
+def _already_by_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same for a source in which no key repeats, without grouping."""
+    return source.select(
+        *(F.col(c) if c in keys else F.col(c).alias(f"new_{c}") for c in source.columns), F.lit(1).alias(_ROWS)
+    )
+
+
+def _apply(target: DataFrame, source: DataFrame, by_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    columns = target.columns
+    hit = F.col(_ROWS).isNotNull()
+    present = (
+        target.join(by_key, list(keys), "left")
+        .filter(_at_most_one(F.col(_ROWS)))
+        .select(
+            *(c if c in keys else F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in columns),
+            F.when(hit, "updated").otherwise("kept").alias(_ACTION),
+        )
+    )
+    # Grouped before the semi join, so that a key with many target rows is
+    # reduced in the map tasks; Catalyst turns the two around where the source
+    # is small enough to be broadcast.
+    taken = target.select(*keys).distinct().join(by_key.select(*keys), list(keys), "left_semi")
+    new = source.join(taken, list(keys), "left_anti").select(*columns)
+    return present.unionByName(new.withColumn(_ACTION, F.lit("inserted")))
+
+
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
     """Target rows after an upsert of ``source``, with what became of each in ``merge_action``.
 
@@ -45,24 +83,8 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str] = DE
     Two source rows for one target row are an error, raised when the rows are
     computed; source rows that match nothing may share a key.
     """
-    columns = target.columns
-    values = [c for c in columns if c not in keys]
-    # Grouping by key first shrinks a key with many copies before the shuffle,
-    # and gives the count the error rule needs.
-    by_key = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("source_rows"), *(F.any_value(c).alias(f"new_{c}") for c in values)
-    )
-    joined = target.join(by_key, list(keys), "left").filter(_at_most_one(F.col("source_rows")))
-    hit = F.col("source_rows").isNotNull()
-    present = joined.select(
-        *(F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in values else c for c in columns),
-        F.when(hit, "updated").otherwise("kept").alias(_ACTION),
-    )
-    # The semi join cuts the target's keys down to the source's before they are
-    # shuffled; with a small source Spark broadcasts it.
-    taken = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
-    new = source.select(*columns).join(taken, list(keys), "left_anti")
-    return present.unionByName(new.withColumn(_ACTION, F.lit("inserted")))
+    source = source.select(*target.columns)
+    return _apply(target, source, _by_key(source, keys), keys)
 
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
@@ -74,16 +96,16 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
 
 
-def _stage(spark: SparkSession, source: DataFrame) -> DataFrame:
-    """Write the source once to the shared folder and read it back.
+def _stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Write rows once to the shared folder and read them back.
 
     The upsert reads its source several times. A stored copy is parsed once,
     gives every read the same rows, and does not have to be computed again when
     executors are lost.
     """
     path = shared_dir(spark, "stage")
-    source.write.parquet(path)
-    return spark.read.schema(source.schema).parquet(path)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _months_in(staged: DataFrame, keys: Sequence[str], unit: str | None) -> list:
@@ -92,21 +114,16 @@ def _months_in(staged: DataFrame, keys: Sequence[str], unit: str | None) -> list
     Units that share no key cannot clash. With the symbol in the key, only a row
     outside the month of its unit can meet a row of another unit.
     """
+    rows = [F.count(F.lit(1)).alias("rows"), F.count_if(_any_null(keys)).alias("rejected")]
+    totals = [F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected")]
     if unit is None:
-        clash = F.lit(False)
-    elif "symbol" in keys:
-        clash = F.bool_or(F.substring(unit, 1, 7) != F.date_format(MONTH_COLUMN, "yyyy-MM"))
+        per_unit, clash = staged.groupBy(MONTH_COLUMN).agg(*rows), F.lit(False)
     else:
-        clash = F.min(unit) != F.max(unit)
-    return (
-        staged.groupBy(MONTH_COLUMN)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(_any_null(keys)).alias("rejected"),
-            F.coalesce(clash, F.lit(False)).alias("clash"),
-        )
-        .collect()
-    )
+        per_unit = staged.groupBy(MONTH_COLUMN, unit).agg(*rows)
+        clash = F.count(F.lit(1)) > 1
+        if "symbol" in keys:
+            clash = F.bool_or(F.substring(unit, 1, 7) != F.date_format(MONTH_COLUMN, "yyyy-MM"))
+    return per_unit.groupBy(MONTH_COLUMN).agg(*totals, F.coalesce(clash, F.lit(False)).alias("clash")).collect()
 
 
 def _one_unit_after_another(source: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
@@ -127,7 +144,10 @@ def _one_unit_after_another(source: DataFrame, keys: Sequence[str], unit: str) -
         F.count_if(F.col("n") > 1).alias("repeated"),
     )
     later_repeats = F.col("repeated") - (F.col("first.n") > 1).cast("int")
-    joined = source.join(per_key.filter(_at_most_one(later_repeats + 1)), list(keys), "left")
+    # Stored, because adaptive execution splits a hot key only between a join and
+    # its two shuffles, with no grouping in between.
+    resolved = _stage(source.sparkSession, per_key.filter(_at_most_one(later_repeats + 1)))
+    joined = source.join(resolved, list(keys), "left")
     first = F.col(f"first.{unit}")
     stay = joined.filter(first.isNull() | (F.col(unit) == first))
     overwritten = F.col("last") != first
@@ -189,8 +209,12 @@ def merge_into(
     if new:
         parts.append(usable.filter(_in_months(new)).withColumn(_ACTION, F.lit("inserted")))
     if held:
-        target = current(spark, table).filter(_in_months(held))
-        parts.append(merge_actions(target, usable.filter(_in_months(held)), keys))
+        target, incoming = current(spark, table).filter(_in_months(held)), usable.filter(_in_months(held))
+        # As above: with the source's keys known to be single, or grouped and
+        # stored, a hot target key can be split.
+        repeats = not incoming.groupBy(*keys).count().filter("count > 1").isEmpty()
+        by_key = _stage(spark, _by_key(incoming, keys)) if repeats else _already_by_key(incoming, keys)
+        parts.append(_apply(target, incoming, by_key, keys))
 
     # Counted behind the last shuffle: tasks that are run again after a loss are
     # counted once there.

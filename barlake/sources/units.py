@@ -44,8 +44,8 @@ def only_units(df: DataFrame, units: DataFrame) -> DataFrame:
 
     Runs a small job on the plan to learn how many units there are.
     """
-    units = units.select(*UNIT_COLUMNS).na.drop().distinct()
-    rows = units.limit(MAX_LITERAL_UNITS + 1).collect()
+    units = units.select(*UNIT_COLUMNS).na.drop()
+    rows = units.distinct().limit(MAX_LITERAL_UNITS + 1).collect()
     if not rows:
         return df.filter(F.lit(False))
     if len(rows) <= MAX_LITERAL_UNITS:

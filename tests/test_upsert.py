@@ -214,7 +214,7 @@ def test_later_unit_that_repeats_a_key(spark, make_table):
 def test_first_load_has_no_join(spark, make_table, monkeypatch):
     from barlake.operators import upsert
 
-    monkeypatch.setattr(upsert, "merge_actions", lambda *_: pytest.fail("joined"))
+    monkeypatch.setattr(upsert, "_apply", lambda *_: pytest.fail("joined"))
     merge_into(spark, make_table(), frame(spark, [("2023-01-01 00:00", 1.0)]))
 
 
@@ -226,3 +226,35 @@ def test_rows_added_by_another_session_survive(spark, make_table):
     append_bars(other, table, frame(other, [("2023-01-02 00:00", 2.0)]))
     merge_into(spark, table, frame(spark, [("2023-01-03 00:00", 3.0)]))
     assert [c for _, c in bars(spark.table(table))] == [1.0, 2.0, 3.0]
+
+
+def test_hot_target_key_is_split(spark, make_table):
+    """A third of the target at one time: the join gives its rows to several tasks."""
+    from barlake.operators import upsert
+
+    n = 60_000
+    time = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")) * 60_000 + ms("2023-01-01")
+    raw = spark.range(0, n, 1, 8).withColumn("open_time_ms", time)
+    target = to_bars(raw.withColumns({c: F.xxhash64("id", F.lit(c)).cast("double") for c in BAR_COLUMNS[:-1]}))
+    once = target.dropDuplicates(["event_time"]).select(*BAR_COLUMNS)
+    source = upsert._stage(spark, once.withColumn("close", F.lit(-1.0)))
+    stored = upsert._stage(spark, target.select(*BAR_COLUMNS).repartition(8))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        merged = upsert._apply(stored, source, upsert._already_by_key(source, ["event_time"]), ["event_time"])
+        assert merged.filter("close = -1").count() == n
+        merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
