@@ -8,7 +8,7 @@ from barlake.operators.table import clustered, current, ensure_table, table_loca
 from barlake.schema import RAW_COLUMNS, RAW_SCHEMA, UNIT_COLUMNS
 from barlake.sources.archives import archive_manifest, read_archives, unzip_lines
 from barlake.sources.manifest import landed_units, missing_from
-from barlake.sources.units import only_units
+from barlake.sources.units import few_units, only_units
 
 
 def create_landing_table(spark: SparkSession, landing: str, location: str) -> None:
@@ -60,5 +60,16 @@ def land_archives(
         .partitionBy(*UNIT_COLUMNS)
         .text(table_location(spark, landing))
     )
-    spark.sql(f"ALTER TABLE {landing} RECOVER PARTITIONS")
+    _register(spark, landing, wanted)
+
+
+def _register(spark: SparkSession, landing: str, units: DataFrame) -> None:
+    """Tell the catalog about units written by path; a scan of all folders only if they are many."""
+    rows = few_units(units)
+    if rows is None:
+        spark.sql(f"ALTER TABLE {landing} RECOVER PARTITIONS")
+    elif rows:
+        quote = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        specs = (", ".join(f"{c} = {quote(row[c])}" for c in UNIT_COLUMNS) for row in rows)
+        spark.sql(f"ALTER TABLE {landing} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({spec})" for spec in specs))
     spark.catalog.refreshTable(landing)

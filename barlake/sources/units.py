@@ -7,9 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from barlake.schema import UNIT_COLUMNS
 
 # Up to this many units are turned into literals, which prune partitions and
-# files before anything is read. More units take the join below.
+# files before anything is read.
 MAX_LITERAL_UNITS = 5_000
 
+# More units are joined: broadcast up to this many (some 50 MB), which spares the
+# other side a shuffle, and as Spark sees fit beyond.
+MAX_BROADCAST_UNITS = 500_000
+
 # ``{symbol}-1m-{yyyy}-{mm}.{extension}``
 _NAME_PATTERN = r"([^/]+)-1m-(\d+)-(\d+)\.[^./]+$"
 
@@ -39,18 +43,21 @@ def _literal_filter(rows: list) -> Column:
     return keep
 
 
-def only_units(df: DataFrame, units: DataFrame) -> DataFrame:
-    """Rows of ``df`` that belong to one of ``units``.
+def few_units(units: DataFrame) -> list | None:
+    """The units as rows if there are few enough for literals. Runs a small job on the plan."""
+    rows = units.select(*UNIT_COLUMNS).na.drop().distinct().limit(MAX_LITERAL_UNITS + 1).collect()
+    return rows if len(rows) <= MAX_LITERAL_UNITS else None
 
-    Runs a small job on the plan to learn how many units there are.
-    """
+
+def only_units(df: DataFrame, units: DataFrame) -> DataFrame:
+    """Rows of ``df`` that belong to one of ``units``."""
+    rows = few_units(units)
+    if rows is not None:
+        return df.filter(_literal_filter(rows) if rows else F.lit(False))
     units = units.select(*UNIT_COLUMNS).na.drop()
-    rows = units.distinct().limit(MAX_LITERAL_UNITS + 1).collect()
-    if not rows:
-        return df.filter(F.lit(False))
-    if len(rows) <= MAX_LITERAL_UNITS:
-        return df.filter(_literal_filter(rows))
     # One value per calendar month still prunes whole partitions.
     months = [tuple(r) for r in units.select("year", "month").distinct().collect()]
     in_month = F.concat_ws("-", "year", "month").isin([f"{y}-{m}" for y, m in months])
+    if units.limit(MAX_BROADCAST_UNITS + 1).count() <= MAX_BROADCAST_UNITS:
+        units = F.broadcast(units)
     return df.filter(in_month).join(units, UNIT_COLUMNS, "left_semi")

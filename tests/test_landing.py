@@ -1,5 +1,8 @@
+import pytest
+
 from barlake.operators import create_landing_table, land_archives, land_raw, scan_landed
 from barlake.sources import landed_units, scan_bars_csv
+from barlake.sources import units as units_module
 from conftest import csv_line, raw_frame, write_zip
 
 UNIT_DDL = "symbol string, year string, month string"
@@ -38,7 +41,9 @@ def test_scan_reads_only_the_folders_of_the_units(spark, make_landing):
     assert len(files) == 2 and all("symbol=A/year=2023/month=02" in f or "symbol=B/year=2023/month=01" in f for f in files)
 
 
-def test_archives_land_unchanged_and_once(spark, make_landing, tmp_path):
+@pytest.mark.parametrize("literals", [5_000, 0])
+def test_archives_land_unchanged_and_once(spark, make_landing, tmp_path, monkeypatch, literals):
+    monkeypatch.setattr(units_module, "MAX_LITERAL_UNITS", literals)
     landing, zips = make_landing(), tmp_path / "zips"
     lines = ["open_time,header", csv_line("2023-01-01 00:00", 1.0), "1,x,3"]
     write_zip(zips / "A-1m-2023-01.zip", "\n".join(lines))

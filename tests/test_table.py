@@ -132,3 +132,8 @@ def test_writing_does_not_pass_through_one_task(spark, make_table):
     plan = plan_of(sorted_by_month(rows))
     assert "SinglePartition" not in plan and "hashpartitioning(event_month" in plan
     assert plan.count("Exchange") == 1
+
+
+def test_namespace_is_created_with_the_table(spark, make_table):
+    make_table()
+    assert "bars_test" in {r[0] for r in spark.sql("SHOW NAMESPACES").collect()}
