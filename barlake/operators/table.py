@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.calendar import month_of
 from barlake.schema import MONTH_COLUMN
-from barlake.session import adaptive_enabled
+from barlake.session import adaptive_enabled, parquet_timestamps
 
 # Splits of one month when adaptive execution, which splits by size, is off.
 _STATIC_SPLITS = 32
@@ -91,4 +91,6 @@ def sorted_by_month(bars: DataFrame) -> DataFrame:
 def append_bars(spark: SparkSession, table: str, bars: DataFrame) -> None:
     """Append, matching columns by name."""
     columns = spark.table(table).columns
-    sorted_by_month(with_month(bars).select(*columns)).write.insertInto(table)
+    rows = sorted_by_month(with_month(bars).select(*columns))
+    with parquet_timestamps(rows.sparkSession):
+        rows.write.insertInto(table)

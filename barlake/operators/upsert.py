@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from barlake.operators.months import months_not_loaded
 from barlake.operators.table import clustered, current, with_month
 from barlake.schema import MONTH_COLUMN
-from barlake.session import shared_dir
+from barlake.session import Stage, parquet_timestamps, shared_dir
 
 DEFAULT_KEYS = ("event_time",)
 
@@ -96,18 +96,6 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
 
 
-def _stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Write rows once to the shared folder and read them back.
-
-    The upsert reads its source several times. A stored copy is parsed once,
-    gives every read the same rows, and does not have to be computed again when
-    executors are lost.
-    """
-    path = shared_dir(spark, "stage")
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def _months_in(staged: DataFrame, keys: Sequence[str], unit: str | None) -> list:
     """One row per month of the source: rows, rows without a key, and whether units may clash.
 
@@ -126,7 +114,7 @@ def _months_in(staged: DataFrame, keys: Sequence[str], unit: str | None) -> list
     return per_unit.groupBy(MONTH_COLUMN).agg(*totals, F.coalesce(clash, F.lit(False)).alias("clash")).collect()
 
 
-def _one_unit_after_another(source: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
+def _one_unit_after_another(stage: Stage, source: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
     """What loading the units in turn would leave of rows that share a key.
 
     The first unit inserts its rows and each later one overwrites their values,
@@ -146,7 +134,7 @@ def _one_unit_after_another(source: DataFrame, keys: Sequence[str], unit: str) -
     later_repeats = F.col("repeated") - (F.col("first.n") > 1).cast("int")
     # Stored, because adaptive execution splits a hot key only between a join and
     # its two shuffles, with no grouping in between.
-    resolved = _stage(source.sparkSession, per_key.filter(_at_most_one(later_repeats + 1)))
+    resolved = stage.store(per_key.filter(_at_most_one(later_repeats + 1)))
     joined = source.join(resolved, list(keys), "left")
     first = F.col(f"first.{unit}")
     stay = joined.filter(first.isNull() | (F.col(unit) == first))
@@ -183,14 +171,35 @@ def merge_into(
     """
     if null_keys not in ("reject", "insert"):
         raise ValueError(f"unknown null_keys: {null_keys}")
+    with Stage(spark) as stage:
+        return _merge_staged(spark, stage, table, source, keys, unit, null_keys == "reject")
+
+
+def _keep(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    path = shared_dir(spark, "rejects")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _merge_staged(
+    spark: SparkSession,
+    stage: Stage,
+    table: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    unit: str | None,
+    reject_null_keys: bool,
+) -> MergeResult:
     columns = spark.table(table).columns
-    staged = _stage(spark, with_month(source).select(*columns, *([unit] if unit else [])))
-    summary = _months_in(staged, keys, unit)
-    rows = sum(m["rows"] for m in summary)
-    rejected, rejects, usable = 0, staged.filter(F.lit(False)), staged
-    if null_keys == "reject":
+    usable = stage.store(with_month(source).select(*columns, *([unit] if unit else [])))
+    summary = _months_in(usable, keys, unit)
+    rows, rejected = sum(m["rows"] for m in summary), 0
+    rejects = spark.createDataFrame([], usable.schema)
+    if reject_null_keys:
         rejected = sum(m["rejected"] for m in summary)
-        rejects, usable = staged.filter(_any_null(keys)), staged.filter(~_any_null(keys))
+        if rejected:
+            rejects = _keep(spark, usable.filter(_any_null(keys)))
+        usable = usable.filter(~_any_null(keys))
         summary = [m for m in summary if m["rows"] > m["rejected"]]
     if not summary:
         return MergeResult(rows, 0, 0, rejected, rejects)
@@ -198,7 +207,7 @@ def merge_into(
     months = [m[MONTH_COLUMN] for m in summary]
     clashing = [m[MONTH_COLUMN] for m in summary if m["clash"]]
     if clashing:
-        mixed = _one_unit_after_another(usable.filter(_in_months(clashing)), keys, unit)
+        mixed = _one_unit_after_another(stage, usable.filter(_in_months(clashing)), keys, unit)
         plain = [m for m in months if m not in clashing]
         usable = mixed.unionByName(usable.filter(_in_months(plain))) if plain else mixed
     usable = usable.select(*columns)
@@ -213,7 +222,7 @@ def merge_into(
         # As above: with the source's keys known to be single, or grouped and
         # stored, a hot target key can be split.
         repeats = not incoming.groupBy(*keys).count().filter("count > 1").isEmpty()
-        by_key = _stage(spark, _by_key(incoming, keys)) if repeats else _already_by_key(incoming, keys)
+        by_key = stage.store(_by_key(incoming, keys)) if repeats else _already_by_key(incoming, keys)
         parts.append(_apply(target, incoming, by_key, keys))
 
     # Counted behind the last shuffle: tasks that are run again after a loss are
@@ -223,5 +232,6 @@ def merge_into(
         counted, *(F.count_if(F.col(_ACTION) == a).alias(a) for a in ("updated", "inserted"))
     )
     ordered = result.select(*columns).sortWithinPartitions(MONTH_COLUMN, "event_time")
-    ordered.write.mode("overwrite").insertInto(table)
+    with parquet_timestamps(spark):
+        ordered.write.mode("overwrite").insertInto(table)
     return MergeResult(rows, counted.get["updated"], counted.get["inserted"], rejected, rejects)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.bars import to_bars
-from barlake.operators.upsert import DEFAULT_KEYS, merge_into
+from barlake.operators.upsert import DEFAULT_KEYS, MergeResult, merge_into
 from barlake.schema import RAW_SCHEMA, UNIT_SCHEMA
 from barlake.sources.units import unit_label
 
@@ -23,22 +23,26 @@ def pick_up_landed(
     keys: Sequence[str] = DEFAULT_KEYS,
     max_files: int = 10_000,
     time_unit: str = "ms",
+    report: Callable[[int, MergeResult], None] | None = None,
 ) -> StreamingQuery:
     """Upsert the files of a landing table that no earlier run has seen, then stop.
 
     The checkpoint remembers files by path, so a unit rewritten under the same
     file name is not seen; load forced units with ``load_units``. A batch run
     again after a failure upserts the same rows, which changes nothing as long
-    as a key occurs once in it.
+    as a key occurs once in it. ``report`` gets the number and the result of each
+    batch, with the rows kept out of it.
     """
     schema = T.StructType([*RAW_SCHEMA.fields, *UNIT_SCHEMA.fields])
     landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).csv(location)
     bars = to_bars(landed.withColumn(_UNIT_LABEL, unit_label()), time_unit)
 
-    def upsert(batch: DataFrame, _: int) -> None:
+    def upsert(batch: DataFrame, number: int) -> None:
         # The caller's session, not the stream's copy of it: its view of the table
         # stays current, and it has adaptive execution, which a stream turns off.
-        merge_into(spark, table, batch, keys, unit=_UNIT_LABEL)
+        done = merge_into(spark, table, batch, keys, unit=_UNIT_LABEL)
+        if report is not None:
+            report(number, done)
 
     return (
         bars.writeStream.trigger(availableNow=True)

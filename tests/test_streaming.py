@@ -6,8 +6,10 @@ from conftest import bars, raw_frame
 
 def test_each_file_is_picked_up_once(spark, make_landing, make_table, tmp_path):
     landing, table = make_landing(), make_table()
+    batches = []
     run = lambda: pick_up_landed(
-        spark, table_location(spark, landing), table, str(tmp_path / "checkpoint"), max_files=1
+        spark, table_location(spark, landing), table, str(tmp_path / "checkpoint"), max_files=1,
+        report=lambda number, done: batches.append((number, done.source, done.inserted, done.updated)),
     ).awaitTermination()
     closes = lambda: [c for _, c in bars(spark.table(table))]
     rows = [("A", "2023", m, f"2023-{m}-01 00:00", float(m)) for m in ("01", "02")]
@@ -26,3 +28,4 @@ def test_each_file_is_picked_up_once(spark, make_landing, make_table, tmp_path):
     land_raw(spark, landing, raw_frame(spark, [("A", "2023", "03", "2023-03-01 00:00", 7.0)]), force=True)
     run()
     assert closes() == [2.0, 7.0]
+    assert batches == [(0, 1, 1, 0), (1, 1, 1, 0), (2, 1, 1, 0), (3, 1, 0, 1)]

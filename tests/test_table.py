@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from barlake.operators import (
     append_bars,
     create_bar_table,
     loaded_months,
+    merge_into,
     month_exists,
     month_range,
     month_status,
@@ -137,3 +139,17 @@ def test_writing_does_not_pass_through_one_task(spark, make_table):
 def test_namespace_is_created_with_the_table(spark, make_table):
     make_table()
     assert "bars_test" in {r[0] for r in spark.sql("SHOW NAMESPACES").collect()}
+
+
+@pytest.mark.parametrize("write", [append_bars, merge_into])
+def test_files_carry_the_range_of_their_times(spark, make_table, write):
+    table, key = make_table(), "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    write(spark, table, some_bars(spark, ("2023-01-01 00:00", 1.0), ("2023-01-02 00:00", 2.0)))
+    assert spark.conf.get(key) == before
+    (file,) = spark.table(table).inputFiles()
+    stored = pq.ParquetFile(file.removeprefix("file://"))
+    group = stored.metadata.row_group(0)
+    (times,) = [group.column(i) for i in range(group.num_columns) if group.column(i).path_in_schema == "event_time"]
+    assert times.physical_type == "INT64"
+    assert (times.statistics.min.day, times.statistics.max.day) == (1, 2)

@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import pytest
@@ -228,7 +229,7 @@ def test_rows_added_by_another_session_survive(spark, make_table):
     assert [c for _, c in bars(spark.table(table))] == [1.0, 2.0, 3.0]
 
 
-def test_hot_target_key_is_split(spark, make_table):
+def test_hot_target_key_is_split(spark, tmp_path):
     """A third of the target at one time: the join gives its rows to several tasks."""
     from barlake.operators import upsert
 
@@ -237,8 +238,10 @@ def test_hot_target_key_is_split(spark, make_table):
     raw = spark.range(0, n, 1, 8).withColumn("open_time_ms", time)
     target = to_bars(raw.withColumns({c: F.xxhash64("id", F.lit(c)).cast("double") for c in BAR_COLUMNS[:-1]}))
     once = target.dropDuplicates(["event_time"]).select(*BAR_COLUMNS)
-    source = upsert._stage(spark, once.withColumn("close", F.lit(-1.0)))
-    stored = upsert._stage(spark, target.select(*BAR_COLUMNS).repartition(8))
+    source, stored = (str(tmp_path / name) for name in ("source", "target"))
+    once.withColumn("close", F.lit(-1.0)).write.parquet(source)
+    target.select(*BAR_COLUMNS).repartition(8).write.parquet(stored)
+    source, stored = spark.read.parquet(source), spark.read.parquet(stored)
     small = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.shuffle.partitions": "8",
@@ -258,3 +261,16 @@ def test_hot_target_key_is_split(spark, make_table):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_stored_copies_are_dropped(spark, make_table):
+    table = make_table()
+    source = frame(spark, [("2023-01-01 00:00", 1.0), (None, 2.0)])
+    done = merge_into(spark, table, source)
+    repeated = frame(spark, [("2023-01-01 00:00", 1.0), ("2023-01-01 00:00", 2.0)])
+    with pytest.raises(Exception, match=ERROR):
+        merge_into(spark, table, repeated)
+    assert spark.sql("SHOW TABLES IN barlake_stage").isEmpty()
+    described = spark.sql("DESCRIBE NAMESPACE barlake_stage").filter("info_name = 'Location'").first()[1]
+    assert not list(pathlib.Path(described.removeprefix("file:")).rglob("*.parquet"))
+    assert [r["close"] for r in done.rejects.collect()] == [2.0]
