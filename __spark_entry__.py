@@ -31,6 +31,7 @@ from barlake.plans import (
     backfill_plan,
     backfill_run,
     load_month,
+    load_raw,
     load_units,
     missing_months,
     not_landed,
@@ -65,6 +66,24 @@ _BARS = """
     FROM orders
 """
 
+# One bar per symbol and day, so that all symbols have bars at the same times.
+_DAILY = """
+    SELECT {epoch}                        AS open_time_ms,
+           min(o_totalprice)              AS open,
+           max(o_totalprice)              AS high,
+           min(o_totalprice) / 2          AS low,
+           max(o_totalprice) / 2          AS close,
+           cast(count(*) AS double)       AS volume,
+           {epoch} + 86399999             AS close_time_ms,
+           cast(max(o_custkey) AS double) AS quote_asset_volume,
+           count(*)                       AS trades,
+           cast(min(o_custkey) AS double) AS taker_buy_base,
+           max(o_custkey) / 2.0e0         AS taker_buy_quote,
+           '0'                            AS ignore,
+           concat('SYM', substr(o_orderpriority, 1, 1)) AS symbol
+    FROM orders GROUP BY o_orderdate, concat('SYM', substr(o_orderpriority, 1, 1))
+"""
+
 _EPOCH = {
     "spark": {
         "ms": "unix_millis(cast(o_orderdate AS timestamp))",
@@ -93,17 +112,21 @@ def _bars_sql(engine: str, unit: str, later_days: int = 0) -> str:
 _NEAR, _FAR = 40, 608
 
 
-def _raw(spark: SparkSession, sf_dir: str, unit: str = "ms", later_days: int = 0) -> DataFrame:
+def _rows_of(spark: SparkSession, sf_dir: str, sql: str, unit: str) -> DataFrame:
     """Raw rows with unit columns."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    rows = spark.sql(_bars_sql("spark", unit, later_days).replace("FROM orders", "FROM {orders}"), orders=orders)
+    rows = spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=orders)
     time = F.timestamp_millis("open_time_ms") if unit == "ms" else F.timestamp_micros("open_time_ms")
     return rows.withColumns(
         {"year": F.date_format(time, "yyyy"), "month": F.date_format(time, "MM")}
     )
 
 
+def _raw(spark: SparkSession, sf_dir: str, unit: str = "ms", later_days: int = 0) -> DataFrame:
+    return _rows_of(spark, sf_dir, _bars_sql("spark", unit, later_days), unit)
+
+
 def _bars(spark: SparkSession, sf_dir: str, unit: str = "us", later_days: int = 0) -> DataFrame:
     return to_bars(_raw(spark, sf_dir, unit, later_days), unit)
 
@@ -404,6 +427,13 @@ def backfill_first_load(spark, sf_dir):
     return _table_rows(spark, table, "symbol")
 
 
+def load_symbols_by_time(spark, sf_dir):
+    """Symbols at the same times with the time as the only key: the last one stays."""
+    table = _new_table(spark, with_symbol=True)
+    load_raw(spark, table, _rows_of(spark, sf_dir, _DAILY.format(epoch=_EPOCH["spark"]["ms"]), "ms"))
+    return _table_rows(spark, table, "symbol")
+
+
 def stream_pickup(spark, sf_dir):
     """Two waves of landed files and one run without new files, over one checkpoint."""
     table = _new_table(spark, with_symbol=True)
@@ -460,6 +490,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missing_months_by_symbol": missing_months_by_symbol,
         "backfill_run": backfill_run_query,
         "backfill_first_load": backfill_first_load,
+        "load_symbols_by_time": load_symbols_by_time,
         "stream_pickup": stream_pickup,
     }
 
@@ -562,6 +593,9 @@ def oracle_sql() -> dict[str, str]:
         f"WHERE NOT EXISTS (SELECT 1 FROM k b WHERE {same_unit})",
         "backfill_run": us_far + _merged(by_symbol, extra=", symbol"),
         "backfill_first_load": f"{us} SELECT {_VALUES}, event_time, symbol FROM k",
+        "load_symbols_by_time": f"SELECT {_VALUES}, make_timestamp(open_time_ms * 1000) AS event_time, symbol "
+        f"FROM ({_DAILY.format(epoch=_EPOCH['duckdb']['ms'])}) "
+        "QUALIFY row_number() OVER (PARTITION BY open_time_ms ORDER BY symbol DESC) = 1",
         "stream_pickup": f"{us_far}, u AS (SELECT * FROM r a WHERE NOT EXISTS (SELECT 1 FROM k b WHERE {same_unit})) "
         + _merged(by_symbol, "u", ", symbol"),
     }

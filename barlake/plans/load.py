@@ -27,24 +27,34 @@ def _one_unit(spark: SparkSession, symbol: str, year: int | str, month: int | st
     return spark.createDataFrame([(symbol, str(year), str(month).zfill(2))], UNIT_SCHEMA)
 
 
-def load_units(
+def load_raw(
     spark: SparkSession,
-    landing: str,
     table: str,
-    units: DataFrame | None = None,
+    raw: DataFrame,
     keys: Sequence[str] = DEFAULT_KEYS,
     time_unit: str = "ms",
 ) -> MergeResult:
-    """Upsert landed units, all of them in one job.
+    """Upsert raw rows with unit columns, from whatever source, in one job.
 
     The table ends up as if the units had been loaded one after another by
     month, then symbol.
     """
-    raw = scan_landed(spark, landing, units)
     bars = to_bars(raw.withColumn(_UNIT_LABEL, unit_label()), time_unit)
     return merge_into(spark, table, bars, keys, unit=_UNIT_LABEL)
 
 
+def load_units(
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    units: DataFrame | None = None,
+    keys: Sequence[str] = DEFAULT_KEYS,
+    time_unit: str = "ms",
+) -> MergeResult:
+    """Upsert landed units, all of them in one job."""
+    return load_raw(spark, table, scan_landed(spark, landing, units), keys, time_unit)
+
+
 def load_month(
     spark: SparkSession,
     landing: str,

@@ -9,10 +9,12 @@ from barlake.plans import (
     backfill_plan,
     backfill_run,
     load_month,
+    load_raw,
     load_units,
     missing_months,
     not_landed,
 )
+from barlake.sources import scan_named_files
 from conftest import at, bars, csv_line, raw_frame, write_zip
 
 
@@ -93,3 +95,18 @@ def test_backfill_lands_and_loads(spark, make_landing, make_table, tmp_path):
         assert (done.merged.source, done.merged.inserted) == (2, inserted)
         assert units_of(done.not_landed) == [("A", "2023", "02"), ("B", "2023", "02")]
     assert [c for _, c in bars(spark.table(table))] == [1.0, 2.0]
+
+
+def test_files_landed_by_others_are_loaded(spark, make_table, tmp_path):
+    table = make_table(with_symbol=True)
+    for symbol, month, close in (("A", "01", 1.0), ("B", "01", 2.0), ("A", "02", 3.0)):
+        path = tmp_path / f"raw/year=2023/month={month}/{symbol}-1m-2023-{month}.csv"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(csv_line(f"2023-{month}-01 00:00", close))
+    units = spark.createDataFrame([("A", "2023", "01"), ("A", "2023", "02")], "symbol string, year string, month string")
+    raw = lambda units: scan_named_files(spark, str(tmp_path / "raw"), units)
+    assert load_raw(spark, table, raw(units), ["symbol", "event_time"]).inserted == 2
+    done = load_raw(spark, table, raw(None), ["symbol", "event_time"])
+    assert (done.updated, done.inserted) == (2, 1)
+    rows = spark.table(table).select("symbol", "close").collect()
+    assert sorted(tuple(r) for r in rows) == [("A", 1.0), ("A", 3.0), ("B", 2.0)]
