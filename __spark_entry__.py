@@ -277,7 +277,8 @@ def month_range_query(spark, sf_dir):
 
 
 def month_exists_query(spark, sf_dir):
-    return month_exists(spark, _loaded(spark, sf_dir), *_MONTH).select(_text(MONTH_COLUMN), "row_exists")
+    found = month_exists(spark, _loaded(spark, sf_dir), *_MONTH)
+    return spark.range(1).select(F.lit("-".join((*_MONTH, "01"))).alias(MONTH_COLUMN), F.lit(found).alias("row_exists"))
 
 
 def _months_of(bars: DataFrame) -> DataFrame:

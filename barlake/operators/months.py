@@ -39,12 +39,13 @@ def month_range(bars: DataFrame, year: int | str, month: int | str, symbol: str
 
 def month_exists(
     spark: SparkSession, table: str, year: int | str, month: int | str, symbol: str | None = None
-) -> DataFrame:
-    """One row with ``row_exists``: does the month hold any row? Stops at the first row found."""
-    probe = month_range(current(spark, table), year, month, symbol).select(F.lit(1).alias("one")).limit(1)
-    return probe.agg((F.count("one") > 0).alias("row_exists")).select(
-        F.lit(_first_day(year, month)).alias(MONTH_COLUMN), "row_exists"
-    )
+) -> bool:
+    """Does the month hold any row?
+
+    ``take`` starts one task, and more only while no row has been found; a
+    count over a limit, or ``isEmpty``, would start one for every file.
+    """
+    return bool(month_range(current(spark, table), year, month, symbol).select(F.lit(1)).take(1))
 
 
 def loaded_months(spark: SparkSession, table: str) -> DataFrame:

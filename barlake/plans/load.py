@@ -72,7 +72,7 @@ def load_month(
         raise MissingRawFile(f"{symbol} {year}-{month} has not been landed")
     if skip_if_exists:
         by_symbol = symbol if "symbol" in keys else None
-        if month_exists(spark, table, year, month, by_symbol).first()["row_exists"]:
+        if month_exists(spark, table, year, month, by_symbol):
             return None
     return load_units(spark, landing, table, unit, keys, time_unit)
 

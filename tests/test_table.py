@@ -60,21 +60,30 @@ def test_month_range_prunes_partitions_and_pushes_the_time(spark, make_table):
 
 def test_exists_and_status(spark, make_table):
     table = make_table(with_symbol=True)
-    assert not month_exists(spark, table, 2023, 1).first()["row_exists"]
+    assert not month_exists(spark, table, 2023, 1)
     append_bars(spark, table, some_bars(spark, ("2024-02-29 00:00", 1.0)))
-    assert month_exists(spark, table, "2024", "02").first()["row_exists"]
-    assert month_exists(spark, table, "2024", "02", "A").first()["row_exists"]
-    assert not month_exists(spark, table, "2024", "02", "B").first()["row_exists"]
+    assert month_exists(spark, table, "2024", "02")
+    assert month_exists(spark, table, "2024", "02", "A")
+    assert not month_exists(spark, table, "2024", "02", "B")
     asked = spark.createDataFrame([(dt.date(2024, m, 1),) for m in (1, 2, 3)], "event_month date")
     assert {(r[0].month, r[1]) for r in month_status(spark, table, asked).collect()} == {
         (1, "MISSING"), (2, "EXISTS"), (3, "MISSING")
     }
 
 
-def test_existence_reads_no_more_than_one_row_per_task(spark, make_table):
+def test_existence_starts_one_task_when_the_first_has_a_row(spark, make_table):
     table = make_table()
-    append_bars(spark, table, some_bars(spark, ("2023-01-01 00:00", 1.0)))
-    assert "LocalLimit 1" in plan_of(month_exists(spark, table, 2023, 1))
+    for day in range(1, 7):
+        append_bars(spark, table, some_bars(spark, (f"2023-01-0{day} 00:00", 1.0)))
+    assert spark.table(table).rdd.getNumPartitions() > 2
+    spark.sparkContext.setJobGroup("existence", "")
+    try:
+        assert month_exists(spark, table, 2023, 1)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("existence") for s in tracker.getJobInfo(job).stageIds]
+    assert sum(tracker.getStageInfo(s).numTasks for s in stages) == 1
 
 
 def test_missing_table_is_an_error(spark):
