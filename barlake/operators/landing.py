@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.operators.table import clustered, current, ensure_table, table_location
 from barlake.schema import RAW_COLUMNS, RAW_SCHEMA, UNIT_COLUMNS
@@ -32,8 +34,11 @@ def land_raw(spark: SparkSession, landing: str, raw: DataFrame, force: bool = Fa
     """Write raw rows with unit columns to their partitions.
 
     Units landed before are skipped, or replaced with ``force``. Either way a
-    unit's folder appears as a whole.
+    unit's folder appears as a whole. A row without its unit is an error.
     """
+    incomplete = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in UNIT_COLUMNS))
+    error = F.raise_error(F.lit("raw row without symbol, year or month")).cast("boolean")
+    raw = raw.filter(F.when(incomplete, error).otherwise(True))
     if not force:
         raw = missing_from(raw, landed_units(spark, landing))
     rows = clustered(raw.select(*RAW_COLUMNS, *UNIT_COLUMNS), *UNIT_COLUMNS)

@@ -73,3 +73,12 @@ def test_known_location_can_be_registered_again(spark, make_landing, tmp_path):
     land_raw(spark, landing, raw_frame(spark, [("A", "2023", "01", "2023-01-01 00:00", 1.0)]))
     create_landing_table(spark, f"{landing}_again", str(tmp_path / landing))
     assert closes(spark, f"{landing}_again") == [("A", "2023", "01", 1.0)]
+
+
+@pytest.mark.parametrize("missing", range(3))
+def test_row_without_its_unit_is_an_error(spark, make_landing, missing):
+    landing, unit = make_landing(), ["A", "2023", "01"]
+    unit[missing] = None
+    with pytest.raises(Exception, match="raw row without symbol, year or month"):
+        land_raw(spark, landing, raw_frame(spark, [(*unit, "2023-01-01 00:00", 1.0)]))
+    assert landed_units(spark, landing).isEmpty()
