@@ -41,6 +41,15 @@ from barlake.session import shared_dir
 from barlake.sources import landed_units, read_symbols, scan_bars_csv, units_exist, unzip_bars
 from barlake.streaming import pick_up_landed
 
+# The one place that does without the training-data operators where they are not installed.
+try:
+    import barlake.llm.queries as llm_queries
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("barlake.llm", "corpus_pipeline")):
+        raise
+    llm_queries = corpus_pipeline = None
+
 # --------------------------------------------------------------------------
 # Fixture, one text for both engines. {epoch} is the order date as a number, {shift}
 # what RESTATED adds to it, {minute} one minute less a tick.
@@ -456,6 +465,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    named = _bar_queries()
+    if llm_queries:
+        named |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return named
+
+
+def _bar_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_kline_csv": scan_kline_csv,
         "scan_work_unit": scan_work_unit,
@@ -524,6 +540,15 @@ def _merged(keys: list[str], source: str = "r", extra: str = "") -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    named = _bar_oracle_sql()
+    if llm_queries:
+        named |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            named["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return named
+
+
+def _bar_oracle_sql() -> dict[str, str]:
     ms, us, ms_far, us_far = _with("ms"), _with("us"), _with("ms", _FAR), _with("us", _FAR)
     year, month = _MONTH
     in_month = f"event_time >= TIMESTAMP '{year}-{month}-01' AND event_time < TIMESTAMP '{year}-{month}-01' + INTERVAL 1 MONTH"
