@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .decontaminate import contaminated, find_contamination, hit_words
 from .line_dedup import line_dedup_report
 from .sharding import shard_documents
 
@@ -16,6 +17,23 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op1_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_contamination(_documents(spark, sf_dir), _benchmark(spark, sf_dir))
+    names = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")
+    return rows.select(
+        "doc_id",
+        "n_words",
+        hit_words().alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
 def op4_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_documents(_documents(spark, sf_dir), SHARDS)
     return rows.select(
@@ -36,6 +54,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_wu_manber_decontamination": op1_wu_manber_decontamination,
         "op4_lpt_sharding": op4_lpt_sharding,
         "op9_line_dedup": op9_line_dedup,
     }
@@ -58,7 +77,35 @@ _LINE_DEDUP = f"""
 """
 
 
+# Windows of 13 words, or of a whole shorter item, joined on their text.
+_DECONTAMINATION = f"""
+    WITH words AS (
+        SELECT 'd' AS kind, doc_id AS id, w FROM (SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents)
+        UNION ALL SELECT 'b', item_id, w FROM (SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark)
+    ), items AS (
+        SELECT DISTINCT id AS item_id, least(13, len(w)) AS size, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win
+        FROM (SELECT id, w, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i FROM words WHERE kind = 'b' AND len(w) > 0)
+    ), sizes AS (SELECT DISTINCT size FROM items),
+    places AS (
+        SELECT id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+        FROM (SELECT id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+              FROM words, sizes WHERE kind = 'd' AND len(w) >= size)
+    ), hits AS (SELECT p.id, p.i, p.size, item_id FROM places p JOIN items USING (size, win)),
+    marked AS (SELECT id, count(DISTINCT k) AS n FROM (
+        SELECT DISTINCT id, unnest(generate_series(i, i + size - 1)) AS k FROM hits) GROUP BY id),
+    named AS (SELECT id, count(*) AS n, string_agg(cast(item_id AS varchar), ',' ORDER BY cast(item_id AS varchar)) AS names
+              FROM (SELECT DISTINCT id, item_id FROM hits) GROUP BY id)
+    SELECT w.id AS doc_id, cast(len(w) AS bigint) AS n_words, coalesce(m.n, 0) AS n_hit, coalesce(x.n, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256,
+           coalesce(m.n, 0) > 0 AND 20 * coalesce(m.n, 0) >= len(w) AS contaminated
+    FROM words w LEFT JOIN marked m ON m.id = w.id LEFT JOIN named x ON x.id = w.id WHERE kind = 'd'
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_wu_manber_decontamination": _DECONTAMINATION,
         "op9_line_dedup": _LINE_DEDUP,
     }
