@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .decontaminate import contaminated, find_contamination, hit_words
 from .line_dedup import line_dedup_report
+from .packing import pack_documents
 from .sharding import shard_documents
 
 SHARDS = 40
@@ -47,6 +48,10 @@ def op4_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup_report(_documents(spark, sf_dir))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -56,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_wu_manber_decontamination": op1_wu_manber_decontamination,
         "op4_lpt_sharding": op4_lpt_sharding,
+        "op5_bin_completion": op5_bin_completion,
         "op9_line_dedup": op9_line_dedup,
     }
 
