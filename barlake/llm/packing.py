@@ -165,10 +165,14 @@ def best_fit_decreasing(counts: Counter, capacity: int) -> list[list[int]]:
 
 
 class _Left:
-    """Pieces not yet placed: counts by size, and the sizes at hand as bits, upwards and downwards."""
+    """Pieces not yet placed: counts by size, and the sizes at hand as bits, upwards and downwards.
 
-    def __init__(self, counts: Counter, capacity: int):
+    ``effort`` is the number of sums that may still be looked for.
+    """
+
+    def __init__(self, counts: Counter, capacity: int, effort: int):
         self.capacity = capacity
+        self.effort = effort
         self.counts = [0] * (capacity + 1)
         self.up = self.down = 0
         for size, n in counts.items():
@@ -189,6 +193,7 @@ class _Left:
         return (self.up & ((1 << (room + 1)) - 1)).bit_length() - 1 if room > 0 else -1
 
     def pairs(self, total: int) -> Iterator[tuple[int, int]]:
+        self.effort -= 1
         both = self.up & (self.down >> (self.capacity - total))
         both &= (1 << (total // 2 + 1)) - 1
         while both:
@@ -217,6 +222,8 @@ class _Left:
                 thirds.append(low)
                 bits &= bits - 1
             for total in range(room, max(one, room - waste - 1), -1):
+                if self.effort <= 0:
+                    return
                 yield from self.pairs(total)
                 for third in thirds:
                     for large, small in self.pairs(total - third):
@@ -228,23 +235,22 @@ class _Left:
             yield (one,)
 
 
-def bin_completion(counts: Counter, capacity: int, effort: int = 1) -> list[list[int]]:
-    """Sequences as lists of sizes. ``effort`` times the number of pieces bounds the branches tried."""
+def bin_completion(counts: Counter, capacity: int, effort: int = 500_000) -> list[list[int]]:
+    """Sequences as lists of sizes. ``effort`` bounds the search for fillings, not the pieces placed."""
     best = best_fit_decreasing(counts, capacity)
     bound = lower_bound(counts, capacity)
     total = sum(s * n for s, n in counts.items())
-    tries = effort * sum(counts.values()) + 1000
-    while len(best) > bound and tries > 0:
-        better, tries = _search(counts, capacity, (len(best) - 1) * capacity - total, tries)
+    while len(best) > bound and effort > 0:
+        better, effort = _search(counts, capacity, (len(best) - 1) * capacity - total, effort)
         if better is None:
             break
         best = better
     return best
 
 
-def _search(counts: Counter, capacity: int, waste: int, tries: int) -> tuple[list[list[int]] | None, int]:
-    """A packing that wastes at most ``waste``, or None if there is none or the tries are used up."""
-    left = _Left(counts, capacity)
+def _search(counts: Counter, capacity: int, waste: int, effort: int) -> tuple[list[list[int]] | None, int]:
+    """A packing that wastes at most ``waste``, or None if there is none or the effort is used up."""
+    left = _Left(counts, capacity, effort)
     path: list[tuple[int, Iterator, tuple[int, ...] | None, int]] = []
     spent = 0
 
@@ -254,7 +260,7 @@ def _search(counts: Counter, capacity: int, waste: int, tries: int) -> tuple[lis
         path.append((first, left.fillings(capacity - first, waste - spent), None, 0))
 
     if not left.up:
-        return [], tries
+        return [], effort
     open_bin()
     while path:
         first, choices, chosen, lost = path.pop()
@@ -262,12 +268,12 @@ def _search(counts: Counter, capacity: int, waste: int, tries: int) -> tuple[lis
             for size in chosen:
                 left.add(size)
             spent -= lost
-        tries -= 1
-        chosen = next(choices, None) if tries > 0 else None
+        left.effort -= 1
+        chosen = next(choices, None)
+        if left.effort <= 0:
+            return None, 0
         if chosen is None:
             left.add(first)
-            if tries <= 0:
-                return None, 0
             continue
         lost = capacity - first - sum(chosen)
         for size in chosen:
@@ -282,9 +288,9 @@ def _search(counts: Counter, capacity: int, waste: int, tries: int) -> tuple[lis
             continue
         path.append((first, choices, chosen, lost))
         if not left.up:
-            return [[size, *filling] for size, _, filling, _ in path], tries
+            return [[size, *filling] for size, _, filling, _ in path], left.effort
         open_bin()
-    return None, tries
+    return None, left.effort
 
 
 def _packer(capacity: int):

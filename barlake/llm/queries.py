@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .decontaminate import contaminated, find_contamination, hit_words
 from .line_dedup import line_dedup_report
 from .packing import pack_documents
+from .quality import quality_report
 from .sharding import shard_documents
 
 SHARDS = 40
@@ -57,12 +58,17 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_wu_manber_decontamination": op1_wu_manber_decontamination,
         "op4_lpt_sharding": op4_lpt_sharding,
         "op5_bin_completion": op5_bin_completion,
         "op9_line_dedup": op9_line_dedup,
+        "op10_quality_cascade": op10_quality_cascade,
     }
 
 
