@@ -39,7 +39,7 @@ class TokenIds:
     Each distinct word is encoded once; the store is emptied when it holds ``limit`` words.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .decontaminate import contaminated, find_contamination, hit_words
 from .line_dedup import line_dedup_report
+from .near_dup import near_duplicate_groups
 from .packing import pack_documents
 from .quality import quality_report
 from .sharding import shard_documents
@@ -53,6 +54,11 @@ def op5_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op8_min_max_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicate_groups(_documents(spark, sf_dir))
+    return rows.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup_report(_documents(spark, sf_dir))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -67,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_wu_manber_decontamination": op1_wu_manber_decontamination,
         "op4_lpt_sharding": op4_lpt_sharding,
         "op5_bin_completion": op5_bin_completion,
+        "op8_min_max_near_dedup": op8_min_max_near_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_quality_cascade": op10_quality_cascade,
     }
@@ -116,8 +123,28 @@ _DECONTAMINATION = f"""
 """
 
 
+_WORDS = f"regexp_extract_all({{text}}, '[^\\x20\\x09-\\x0D]+')"
+_LOWERED = _WORDS.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")
+_UNCHANGED = _WORDS.format(text="coalesce(text, '')")
+
+_NEAR_DUPLICATES = f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_LOWERED} AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle
+          FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b USING (shingle)
+          WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+    l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 85 * (a.n + b.n - i)),
+    r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+    c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+    SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_wu_manber_decontamination": _DECONTAMINATION,
+        "op8_min_max_near_dedup": _NEAR_DUPLICATES,
         "op9_line_dedup": _LINE_DEDUP,
     }

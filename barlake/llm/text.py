@@ -104,13 +104,13 @@ class Words:
 
 def sequence_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     """A hash of every ``size`` consecutive words, also across documents."""
-    count = max(0, len(hashes) - size + 1)
-    total = np.full(count, np.uint64(seed * 2 + 1) * _STEP, dtype=np.uint64)
+    count, step = max(0, len(hashes) - size + 1), int(_STEP)
+    total = np.full(count, (2 * seed + 1) * step % 2**64, dtype=np.uint64)
     for i in range(size):
-        factor = np.uint64(_FACTORS[i % len(_FACTORS)]) + np.uint64(2 * (i // len(_FACTORS)))
+        factor = int(_FACTORS[i % len(_FACTORS)]) + 2 * (i // len(_FACTORS))
         if seed:
-            factor = factor * np.uint64(0xD1342543DE82EF95)
-        total += hashes[i : i + count] * factor
+            factor *= 2 * seed * step + 1
+        total += hashes[i : i + count] * np.uint64(factor % 2**64)
     return mix(total)
 
 
