@@ -12,6 +12,7 @@ from .near_dup import near_duplicate_groups
 from .packing import pack_documents
 from .quality import quality_report
 from .sharding import shard_documents
+from .substring_dedup import remove_repeated_passages
 
 SHARDS = 40
 
@@ -54,6 +55,11 @@ def op5_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op7_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeated_passages(_documents(spark, sf_dir))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_min_max_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicate_groups(_documents(spark, sf_dir))
     return rows.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -73,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_wu_manber_decontamination": op1_wu_manber_decontamination,
         "op4_lpt_sharding": op4_lpt_sharding,
         "op5_bin_completion": op5_bin_completion,
+        "op7_super_kmer_dedup": op7_super_kmer_dedup,
         "op8_min_max_near_dedup": op8_min_max_near_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_quality_cascade": op10_quality_cascade,
@@ -142,9 +149,27 @@ _NEAR_DUPLICATES = f"""
 """
 
 
+_PASSAGES = f"""
+    WITH w AS (SELECT doc_id, {_UNCHANGED} AS w FROM documents),
+    p AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS win
+          FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM w)),
+    f AS (SELECT win, min(doc_id) AS holder FROM p GROUP BY win HAVING count(*) > 1),
+    g AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS k
+          FROM p JOIN f USING (win) WHERE holder < doc_id),
+    t AS (SELECT doc_id, k, w[k] AS word FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS k FROM w)),
+    m AS (SELECT t.*, g.k IS NOT NULL AS gone FROM t LEFT JOIN g ON g.doc_id = t.doc_id AND g.k = t.k),
+    a AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+                 string_agg(word, ' ' ORDER BY k) FILTER (NOT gone) AS kept FROM m GROUP BY doc_id)
+    SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN a USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_wu_manber_decontamination": _DECONTAMINATION,
+        "op7_super_kmer_dedup": _PASSAGES,
         "op8_min_max_near_dedup": _NEAR_DUPLICATES,
         "op9_line_dedup": _LINE_DEDUP,
     }

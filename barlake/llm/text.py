@@ -114,6 +114,15 @@ def sequence_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     return mix(total)
 
 
+def range_hashes(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of the words from each start up to its stop, at a cost that does not depend on their number."""
+    if not len(starts):
+        return hashes[:0]
+    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * _powers_of(_STEP, len(hashes)), out=sums[1:])
+    return mix((sums[stops] - sums[starts]) * _powers_of(_UNSTEP, len(hashes))[starts] + (stops - starts).astype(np.uint64))
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
