@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .decontaminate import contaminated, find_contamination, hit_words
+from .katz import katz_scores
 from .line_dedup import line_dedup_report
 from .near_dup import near_duplicate_groups
 from .packing import pack_documents
@@ -38,6 +39,10 @@ def op1_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op2_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(_documents(spark, sf_dir))
+
+
 def op4_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_documents(_documents(spark, sf_dir), SHARDS)
     return rows.select(
@@ -77,6 +82,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_wu_manber_decontamination": op1_wu_manber_decontamination,
+        "op2_katz_scores": op2_katz_scores,
         "op4_lpt_sharding": op4_lpt_sharding,
         "op5_bin_completion": op5_bin_completion,
         "op7_super_kmer_dedup": op7_super_kmer_dedup,
