@@ -2,8 +2,9 @@
 
 A document is its set of distinct word shingles. Each of 70 permutations of the 64-bit shingle
 hashes gives two values of its signature, the minimum and the maximum; both agree for two
-sets with a probability equal to their similarity. The 140 values make 28 bands of 5.
-Sets at the threshold of 0.85 share no band with a probability of 8e-8.
+sets with a probability equal to their similarity. The 140 values are cut into bands, as long as
+sets at the threshold miss each other with a probability below one in a million: 28 bands of 5 at
+0.85 (8e-8), 35 bands of 4 at 0.8 (1e-8).
 
 Sets that share a band are gathered into clusters, and inside clusters all links are confirmed
 on full sets: a block looks each set's shingles up in the postings of the others, which counts
@@ -25,8 +26,8 @@ from .text import LOWER, Words, groups_by_size, mix, sequence_hashes, texts_of
 
 SHINGLE = 3
 PERMUTATIONS = 70
-ROWS = 5
 PERCENT = 85
+MISSED = 1e-6
 
 _factors = np.random.default_rng(20250311).integers(0, 2**63, 2 * PERMUTATIONS, dtype=np.uint64) * np.uint64(
     2
@@ -57,13 +58,20 @@ def min_max(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate([low, high])
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
-    bands = signatures.shape[1] // ROWS
-    weighted = (signatures * _factors[None, : signatures.shape[1]]).reshape(len(signatures), bands, ROWS)
+def band_rows(percent: int) -> int:
+    """Values per band: as many as keep the chance to miss a pair at the threshold below MISSED."""
+    miss = lambda rows: (1 - (percent / 100) ** rows) ** (2 * PERMUTATIONS // rows)
+    return max((rows for rows in range(1, 2 * PERMUTATIONS) if miss(rows) < MISSED), default=1)
+
+
+def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
+    bands = signatures.shape[1] // rows
+    used = signatures[:, : bands * rows]
+    weighted = (used * _factors[None, : bands * rows]).reshape(len(signatures), bands, rows)
     return mix(weighted.sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)[None, :] * _factors[0])
 
 
-def _signer(size: int):
+def _signer(size: int, percent: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch)
@@ -75,7 +83,7 @@ def _signer(size: int):
                 full = [i for i, s in enumerate(sets) if len(s)]
                 bands: list = [None] * len(sets)
                 if full:
-                    found = band_keys(np.stack([min_max(sets[i]) for i in full])).view(np.int64)
+                    found = band_keys(np.stack([min_max(sets[i]) for i in full]), band_rows(percent)).view(np.int64)
                     for i, row in zip(full, found):
                         bands[i] = row
                 yield pa.RecordBatch.from_arrays(
@@ -173,7 +181,7 @@ def near_duplicate_groups(
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = stored(
         named.mapInArrow(
-            _signer(shingle), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>"
+            _signer(shingle, percent), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>"
         ),
         "signatures",
     )

@@ -14,6 +14,8 @@ from .packing import pack_documents
 from .quality import quality_report
 from .sharding import shard_documents
 from .substring_dedup import remove_repeated_passages
+from .token_counts import token_counts
+from .url_filter import RULES, judge_pages
 
 SHARDS = 40
 
@@ -43,6 +45,10 @@ def op2_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(_documents(spark, sf_dir))
 
 
+def op3_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_documents(spark, sf_dir))
+
+
 def op4_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_documents(_documents(spark, sf_dir), SHARDS)
     return rows.select(
@@ -60,6 +66,15 @@ def op5_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels carry the number of the page they judge as doc_id."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    judged = judge_pages(pages, labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = remove_repeated_passages(_documents(spark, sf_dir))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -83,8 +98,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_wu_manber_decontamination": op1_wu_manber_decontamination,
         "op2_katz_scores": op2_katz_scores,
+        "op3_trie_token_counts": op3_trie_token_counts,
         "op4_lpt_sharding": op4_lpt_sharding,
         "op5_bin_completion": op5_bin_completion,
+        "op6_host_reputation": op6_host_reputation,
         "op7_super_kmer_dedup": op7_super_kmer_dedup,
         "op8_min_max_near_dedup": op8_min_max_near_dedup,
         "op9_line_dedup": op9_line_dedup,
@@ -136,6 +153,42 @@ _DECONTAMINATION = f"""
 """
 
 
+def _prior_size(level: str) -> str:
+    return f"""(SELECT CASE WHEN count(*) < 2 OR coalesce(sum(n), 0) = 0 THEN 10.0
+        WHEN (sum(k) / sum(n)) * (1 - sum(k) / sum(n)) * (sum(n) - sum(n * n) / sum(n) - (count(*) - 1)) <= 0 THEN 10.0
+        ELSE 1 / least(greatest((sum(k * k / n) - sum(k) * sum(k) / sum(n) - (sum(k) / sum(n)) * (1 - sum(k) / sum(n)) * (count(*) - 1))
+             / ((sum(k) / sum(n)) * (1 - sum(k) / sum(n)) * (sum(n) - sum(n * n) / sum(n) - (count(*) - 1))), 0.001), 0.5) - 1 END
+        FROM {level} WHERE n > 0)"""
+
+
+def _shrunk(prior: str, level: str, table: str) -> str:
+    return f"(({prior}) * {_prior_size(level)} + {table}.k) / ({_prior_size(level)} + {table}.n)"
+
+
+_RULES_FIT = ", ".join(f"('{rule}', '{verdict}', '{rule.split('/', 1)[0]}', '/{rule.split('/', 1)[1]}')" for rule, verdict in RULES)
+
+_REPUTATION = f"""
+    WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+    b AS (SELECT doc_id AS page_id, max(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY doc_id),
+    h AS (SELECT host, cast(count(bad) AS double) AS n, cast(coalesce(sum(bad::int), 0) AS double) AS k,
+                 array_to_string(list_reverse(list_reverse(string_split(host, '.'))[1:2]), '.') AS domain,
+                 string_split(host, '.')[-1] AS suffix FROM u LEFT JOIN b USING (page_id) GROUP BY host),
+    d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY domain, suffix),
+    s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY suffix),
+    sr AS (SELECT suffix, {_shrunk("(SELECT (sum(k) + 1) / (sum(n) + 2) FROM s)", "s", "s")} AS rate FROM s),
+    dr AS (SELECT domain, {_shrunk("sr.rate", "d", "d")} AS rate FROM d JOIN sr USING (suffix)),
+    hr AS (SELECT host, n, {_shrunk("dr.rate", "h", "h")} AS rate FROM h JOIN dr USING (domain)),
+    v AS (SELECT host, CASE WHEN rate - 1.645 * sqrt(rate * (1 - rate) / ({_prior_size("h")} + n + 1)) > 0.5
+                            THEN 'block' ELSE 'allow' END AS learned FROM hr),
+    f AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+          FROM (SELECT DISTINCT host, path FROM u), (VALUES {_RULES_FIT}) t(rule, verdict, under, opening)
+          WHERE (host = under OR ends_with(host, '.' || under)) AND starts_with(path, opening) GROUP BY host, path)
+    SELECT page_id, u.host, u.path, f.rule, coalesce(f.verdict, v.learned) AS verdict
+    FROM u JOIN v ON v.host = u.host LEFT JOIN f ON f.host = u.host AND f.path = u.path
+"""
+
 _WORDS = f"regexp_extract_all({{text}}, '[^\\x20\\x09-\\x0D]+')"
 _LOWERED = _WORDS.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")
 _UNCHANGED = _WORDS.format(text="coalesce(text, '')")
@@ -175,6 +228,7 @@ _PASSAGES = f"""
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_wu_manber_decontamination": _DECONTAMINATION,
+        "op6_host_reputation": _REPUTATION,
         "op7_super_kmer_dedup": _PASSAGES,
         "op8_min_max_near_dedup": _NEAR_DUPLICATES,
         "op9_line_dedup": _LINE_DEDUP,
