@@ -119,7 +119,7 @@ def prose_rules() -> list[Rule]:
     """Signs of text that is not prose, in any language that parts words by blanks."""
     letters = F.char_length(F.regexp_replace("_text", r"[^\p{L}]+", ""))
     return [
-        Rule("symbols", 10 * n_symbols() > n_words()),
+        Rule("symbols", 2 * n_symbols() > n_words()),
         Rule("word_length", (word_chars() < 2 * n_words()) | (word_chars() > 15 * n_words())),
         Rule("few_letters", 10 * letters < 6 * word_chars()),
         Rule("repeated_lines", 10 * n_dup_lines() > 5 * F.size(F.split("_text", "\n", -1))),
