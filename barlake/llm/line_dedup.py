@@ -96,16 +96,17 @@ def _batch_bounds(lines: DataFrame, batches: int) -> list[int]:
 
 
 def _marked(docs: DataFrame, min_chars: int, batches: int, fan_in: int, buckets: int | None) -> DataFrame:
-    """The rows of ``docs`` with ``_lines`` and ``_dropped``, the sorted places of dropped lines."""
+    """``row`` with all columns of docs, ``lines``, and ``dropped``, the sorted places of dropped lines."""
     spark = docs.sparkSession
-    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(
-        "doc_id IS NOT NULL AND text IS NOT NULL"
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), _text_id().alias("tid"), "text"
     )
+    named = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").drop("row")
     bounds = _batch_bounds(named, batches)
     batch = F.lit(0)
     for bound in sorted(set(bounds)):
         batch = batch + (F.col("doc_id") > F.lit(int(bound))).cast("int")
-    keys = named.select("doc_id", _text_id().alias("tid"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    keys = named.select("doc_id", "tid", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     keys = keys.select("doc_id", "tid", "pos", line_key(F.col("line")).alias("key"))
     keys = keys.filter(F.char_length("key") >= min_chars)
     lines = stored(
@@ -130,21 +131,20 @@ def _marked(docs: DataFrame, min_chars: int, batches: int, fan_in: int, buckets:
     drops = (
         lines.join(repeats, ["batch", *_HASH])
         .filter(F.col("holder") < F.col("doc_id"))
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("tid").alias("_tid"))
-        .agg(F.sort_array(F.collect_set("pos")).alias("_dropped"))
+        .groupBy("doc_id", "tid")
+        .agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     )
-    marked = docs.withColumn("_tid_of", _text_id()).withColumn("_doc_of", F.col("doc_id").cast("bigint"))
-    return (
-        marked.join(drops, (F.col("_doc_of") == F.col("_doc")) & (F.col("_tid_of") == F.col("_tid")), "left")
-        .withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
-        .withColumn("_dropped", F.coalesce("_dropped", F.array().cast("array<int>")))
+    return rows.join(drops, ["doc_id", "tid"], "left").select(
+        "row",
+        F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"),
+        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
     )
 
 
 def _kept_text() -> Column:
-    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
-    kept = F.array_join(F.transform(places, lambda i: F.get("_lines", i)), "\n")
-    return F.when(F.size("_dropped") == 0, F.coalesce("text", F.lit(""))).otherwise(kept)
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
+    kept = F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")
+    return F.when(F.size("dropped") == 0, F.coalesce("row.text", F.lit(""))).otherwise(kept)
 
 
 def line_dedup_report(
@@ -160,9 +160,9 @@ def line_dedup_report(
     """
     marked = _marked(docs.select("doc_id", "text"), min_chars, batches, fan_in, buckets)
     return marked.select(
-        "doc_id",
-        F.size("_lines").cast("bigint").alias("n_lines"),
-        F.size("_dropped").cast("bigint").alias("n_dropped"),
+        "row.doc_id",
+        F.size("lines").cast("bigint").alias("n_lines"),
+        F.size("dropped").cast("bigint").alias("n_dropped"),
         _kept_text().alias("kept_text"),
     )
 
@@ -175,5 +175,5 @@ def drop_repeated_lines(
     A null text stays null.
     """
     marked = _marked(docs, min_chars, batches, fan_in, buckets)
-    text = F.when(F.col("text").isNotNull(), _kept_text()).alias("text")
-    return marked.select(*(text if c == "text" else F.col(c) for c in docs.columns))
+    text = F.when(F.col("row.text").isNotNull(), _kept_text()).alias("text")
+    return marked.select(*(text if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))

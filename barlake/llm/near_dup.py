@@ -229,5 +229,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int =
     Rows without a doc_id or without words stay.
     """
     groups = near_duplicate_groups(docs, shingle, percent)
-    gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    gone = groups.filter("component_id < doc_id").select("doc_id").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"))
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")
