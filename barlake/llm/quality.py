@@ -25,12 +25,15 @@ SYMBOLS = "#*$%&|<>"
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
-    """``row`` with all columns of docs, ``_text`` and ``_words``."""
+    """``row`` with all columns of docs, ``_text`` and ``_words``.
+
+    The words come out of a generator of one row, through which the optimizer moves no filter. It would
+    put their expression in the place of their name, also inside lambdas, and split the text for each word.
+    """
     rows = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("_text"))
     bare = F.btrim("_text", F.lit(_BLANKS))
-    return rows.withColumn(
-        "_words", F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"{_BLANK}+", -1))
-    )
+    words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"{_BLANK}+", -1))
+    return rows.select("*", F.explode(F.array(words)).alias("_words"))
 
 
 def n_words() -> Column:
