@@ -26,6 +26,7 @@ from barlake.operators import (
     month_status,
     scan_landed,
 )
+from barlake.operators.table import table_location
 from barlake.plans import (
     append_if_missing,
     backfill_plan,
@@ -38,7 +39,15 @@ from barlake.plans import (
 )
 from barlake.schema import BAR_COLUMNS, MONTH_COLUMN, RAW_COLUMNS, UNIT_COLUMNS
 from barlake.session import shared_dir
-from barlake.sources import landed_units, read_symbols, scan_bars_csv, units_exist, unzip_bars
+from barlake.sources import (
+    file_manifest,
+    landed_units,
+    read_symbols,
+    scan_bars_csv,
+    scan_named_files,
+    units_exist,
+    unzip_bars,
+)
 from barlake.streaming import pick_up_landed
 
 # The one place that does without the training-data operators where they are not installed.
@@ -94,9 +103,10 @@ _DAILY = """
 """
 
 _EPOCH = {
+    # Order dates have no time of day. Day numbers do not depend on the session's time zone.
     "spark": {
-        "ms": "unix_millis(cast(o_orderdate AS timestamp))",
-        "us": "unix_micros(cast(o_orderdate AS timestamp))",
+        "ms": "unix_date(cast(o_orderdate AS date)) * 86400000L",
+        "us": "unix_date(cast(o_orderdate AS date)) * 86400000000L",
     },
     "duckdb": {"ms": "epoch_ms(o_orderdate)", "us": "epoch_us(o_orderdate)"},
 }
@@ -123,13 +133,10 @@ _NEAR, _FAR = 40, 608
 
 def _rows_of(spark: SparkSession, sf_dir: str, sql: str, unit: str) -> DataFrame:
     """Raw rows with unit columns."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     rows = spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=orders)
-    time = F.timestamp_millis("open_time_ms") if unit == "ms" else F.timestamp_micros("open_time_ms")
-    return rows.withColumns(
-        {"year": F.date_format(time, "yyyy"), "month": F.date_format(time, "MM")}
-    )
+    day = F.date_from_unix_date(F.floor(F.col("open_time_ms") / _TICKS_PER_DAY[unit]).cast("int"))
+    return rows.withColumns({"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM")})
 
 
 def _raw(spark: SparkSession, sf_dir: str, unit: str = "ms", later_days: int = 0) -> DataFrame:
@@ -145,7 +152,10 @@ def _units(raw: DataFrame) -> DataFrame:
 
 
 def _ntz(column: str = "event_time") -> Column:
-    return F.col(column).cast("timestamp_ntz").alias(column)
+    """The UTC time, in any session time zone."""
+    seconds = F.unix_micros(column).cast("decimal(20,0)") / 1_000_000
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).alias(column)
 
 
 def _text(column: str) -> Column:
@@ -261,7 +271,8 @@ def kline_transform(spark, sf_dir):
 
 
 def source_row_count(spark, sf_dir):
-    return _raw(spark, sf_dir).agg(F.count(F.lit(1)).alias("source_rows"))
+    done = merge_into(spark, _new_table(spark), _bars(spark, sf_dir))
+    return spark.range(1).select(F.lit(done.source).cast("bigint").alias("source_rows"))
 
 
 def month_partitioned_table(spark, sf_dir):
@@ -459,6 +470,71 @@ def stream_pickup(spark, sf_dir):
     return _table_rows(spark, table, "symbol")
 
 
+def stream_pickup_small_batches(spark, sf_dir):
+    """Symbols at the same times, their files dealt over several batches."""
+    table = _new_table(spark, with_symbol=True)
+    landing, location = _new_landing(spark)
+    land_raw(spark, landing, _rows_of(spark, sf_dir, _DAILY.format(epoch=_EPOCH["spark"]["ms"]), "ms"))
+    pick_up_landed(
+        spark, location, table, shared_dir(spark, "stream"), ["symbol", "event_time"], max_files=150
+    ).awaitTermination()
+    return _table_rows(spark, table, "symbol")
+
+
+def _files(spark: SparkSession):
+    """The file system of the shared folder, whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(shared_dir(spark, "files"))
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _named_files(spark: SparkSession, sf_dir: str) -> str:
+    """One file per unit, named by it, in ``year=/month=`` folders."""
+    written, root = shared_dir(spark, "written"), shared_dir(spark, "named")
+    parts = ["year", "month", "symbol"]
+    _raw(spark, sf_dir, "us").repartition(*parts).select(*RAW_COLUMNS, *parts).write.partitionBy(*parts).csv(written)
+    system, path = _files(spark)
+    for found in system.globStatus(path(f"{written}/year=*/month=*/symbol=*/part-*")):
+        year, month, symbol = (p.partition("=")[2] for p in found.getPath().toString().split("/")[-4:-1])
+        system.mkdirs(path(f"{root}/year={year}/month={month}"))
+        system.rename(found.getPath(), path(f"{root}/year={year}/month={month}/{symbol}-1m-{year}-{month}.csv"))
+    return root
+
+
+def scan_named_files_query(spark, sf_dir):
+    return scan_named_files(spark, _named_files(spark, sf_dir))
+
+
+def named_file_manifest(spark, sf_dir):
+    return file_manifest(spark, _named_files(spark, sf_dir)).select(*UNIT_COLUMNS)
+
+
+def stream_pickup_named_files(spark, sf_dir):
+    table = _new_table(spark, with_symbol=True)
+    pick_up_landed(
+        spark, _named_files(spark, sf_dir), table, shared_dir(spark, "stream"), ["symbol", "event_time"], time_unit="us"
+    ).awaitTermination()
+    return _table_rows(spark, table, "symbol")
+
+
+def month_status_after_loss(spark, sf_dir):
+    """A month whose folder has lost its files is missing, though the catalog lists it."""
+    table = _loaded(spark, sf_dir)
+    system, path = _files(spark)
+    system.delete(path(f"{table_location(spark, table)}/{MONTH_COLUMN}={'-'.join((*_MONTH, '01'))}"), True)
+    return month_status(spark, table, _months_of(_bars(spark, sf_dir))).select(_text(MONTH_COLUMN), "status")
+
+
+def load_mixed_time_units(spark, sf_dir):
+    """Units of two symbols count microseconds, the others milliseconds."""
+    table = _new_table(spark, with_symbol=True)
+    fine = F.col("symbol").isin("SYM1", "SYM2")
+    time = F.when(fine, F.col("open_time_ms") * 1000).otherwise(F.col("open_time_ms"))
+    raw = _raw(spark, sf_dir).withColumn("open_time_ms", time)
+    load_raw(spark, table, raw, ["symbol", "event_time"], F.when(fine, "us").otherwise("ms"))
+    return _table_rows(spark, table, "symbol")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: upsert of restated bars into a loaded month-partitioned table."""
     return merge_upsert(spark, "/root/testdata/sf0.001")
@@ -509,6 +585,12 @@ def _bar_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backfill_first_load": backfill_first_load,
         "load_symbols_by_time": load_symbols_by_time,
         "stream_pickup": stream_pickup,
+        "stream_pickup_small_batches": stream_pickup_small_batches,
+        "stream_pickup_named_files": stream_pickup_named_files,
+        "scan_named_files": scan_named_files_query,
+        "named_file_manifest": named_file_manifest,
+        "month_status_after_loss": month_status_after_loss,
+        "load_mixed_time_units": load_mixed_time_units,
     }
 
 
@@ -624,4 +706,12 @@ def _bar_oracle_sql() -> dict[str, str]:
         "QUALIFY row_number() OVER (PARTITION BY open_time_ms ORDER BY symbol DESC) = 1",
         "stream_pickup": f"{us_far}, u AS (SELECT * FROM r a WHERE NOT EXISTS (SELECT 1 FROM k b WHERE {same_unit})) "
         + _merged(by_symbol, "u", ", symbol"),
+        "stream_pickup_small_batches": f"SELECT {_VALUES}, make_timestamp(open_time_ms * 1000) AS event_time, symbol "
+        f"FROM ({_DAILY.format(epoch=_EPOCH['duckdb']['ms'])})",
+        "stream_pickup_named_files": f"{us} SELECT {_VALUES}, event_time, symbol FROM k",
+        "scan_named_files": f"{us} {landed} k",
+        "named_file_manifest": f"{us} SELECT DISTINCT symbol, year, month FROM k",
+        "month_status_after_loss": f"{us} SELECT DISTINCT event_month, CASE WHEN event_month = '{year}-{month}-01' "
+        "THEN 'MISSING' ELSE 'EXISTS' END AS status FROM k",
+        "load_mixed_time_units": f"{ms} SELECT {_VALUES}, event_time, symbol FROM k",
     }

@@ -10,11 +10,13 @@ from barlake.schema import DROPPED_COLUMNS
 _MAX_MILLIS = (2**63 - 1) // 1000
 
 
-def event_time(epoch: Column, unit: str = "ms") -> Column:
-    """Epoch number to instant; ``unit`` is ``"ms"`` or ``"us"`` and never guessed.
+def event_time(epoch: Column, unit: str | Column = "ms") -> Column:
+    """Epoch number to instant; ``unit`` is ``"ms"`` or ``"us"``, or a column of these, and never guessed.
 
-    A number no timestamp can hold becomes NULL instead of failing the whole job.
+    A number no timestamp can hold, or a row with another unit, becomes NULL instead of failing the whole job.
     """
+    if isinstance(unit, Column):
+        return F.when(unit == "us", event_time(epoch, "us")).when(unit == "ms", event_time(epoch, "ms"))
     if unit == "us":
         return F.timestamp_micros(epoch)
     if unit == "ms":
@@ -22,7 +24,7 @@ def event_time(epoch: Column, unit: str = "ms") -> Column:
     raise ValueError(f"unknown time unit: {unit}")
 
 
-def to_bars(raw: DataFrame, unit: str = "ms") -> DataFrame:
+def to_bars(raw: DataFrame, unit: str | Column = "ms") -> DataFrame:
     """Add ``event_time`` and drop the raw columns the table does not keep.
 
     Other columns, such as a symbol, pass through.

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.operators.table import clustered, current, ensure_table, table_location
 from barlake.schema import RAW_COLUMNS, RAW_SCHEMA, UNIT_COLUMNS
 from barlake.sources.archives import archive_manifest, read_archives, unzip_lines
-from barlake.sources.manifest import landed_units, missing_from
-from barlake.sources.units import few_units, only_units
+from barlake.sources.manifest import landed_units, missing_from, partition_spec
+from barlake.sources.units import only_units
+
+_UNITS_PER_STATEMENT = 1_000
 
 
 def create_landing_table(spark: SparkSession, landing: str, location: str) -> None:
@@ -40,6 +45,7 @@ def land_raw(spark: SparkSession, landing: str, raw: DataFrame, force: bool = Fa
     error = F.raise_error(F.lit("raw row without symbol, year or month")).cast("boolean")
     raw = raw.filter(F.when(incomplete, error).otherwise(True))
     if not force:
+        _register_found(spark, landing, raw)
         raw = missing_from(raw, landed_units(spark, landing))
     rows = clustered(raw.select(*RAW_COLUMNS, *UNIT_COLUMNS), *UNIT_COLUMNS)
     rows.write.mode("overwrite").insertInto(landing)
@@ -57,6 +63,7 @@ def land_archives(
     if units is not None:
         wanted = only_units(wanted, units)
     if not force:
+        _register_found(spark, landing, wanted)
         wanted = missing_from(wanted, landed_units(spark, landing))
     lines = unzip_lines(read_archives(spark, archives, wanted))
     (
@@ -68,13 +75,43 @@ def land_archives(
     _register(spark, landing, wanted)
 
 
+def _chunks(units: DataFrame) -> Iterator[list]:
+    rows = units.select(*UNIT_COLUMNS).na.drop().distinct().toLocalIterator()
+    while chunk := list(islice(rows, _UNITS_PER_STATEMENT)):
+        yield chunk
+
+
 def _register(spark: SparkSession, landing: str, units: DataFrame) -> None:
-    """Tell the catalog about units written by path; a scan of all folders only if they are many."""
-    rows = few_units(units)
-    if rows is None:
-        spark.sql(f"ALTER TABLE {landing} RECOVER PARTITIONS")
-    elif rows:
-        quote = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        specs = (", ".join(f"{c} = {quote(row[c])}" for c in UNIT_COLUMNS) for row in rows)
-        spark.sql(f"ALTER TABLE {landing} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({spec})" for spec in specs))
+    """Tell the catalog about units written by path: these and no others, whatever their number."""
+    for rows in _chunks(units):
+        spark.sql(f"ALTER TABLE {landing} ADD IF NOT EXISTS " + " ".join(partition_spec(row) for row in rows))
     spark.catalog.refreshTable(landing)
+
+
+def _register_found(spark: SparkSession, landing: str, units: DataFrame) -> None:
+    """Register those of ``units`` that have files but are not in the catalog.
+
+    A driver lost between the write and the catalog leaves such units, and so does another session.
+    Taken for new they would be overwritten.
+    """
+    absent = units.select(*UNIT_COLUMNS).distinct()
+    absent = missing_from(absent, landed_units(spark, landing))
+    location = table_location(spark, landing)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    for rows in _chunks(absent):
+        folders = ",".join("/".join(f"{c}={_escaped(row[c])}" for c in UNIT_COLUMNS) for row in rows)
+        try:
+            # The marker of earlier writes keeps the pattern from finding nothing.
+            found = files.load(f"{location}/{{_SUCCESS,{folders}}}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        values = [F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in UNIT_COLUMNS]
+        _register(spark, landing, found.filter("length > 0").select(*values).filter("symbol <> ''"))
+
+
+def _escaped(value: str) -> str:
+    """A partition value as its folder spells it, safe in a path pattern."""
+    spelled = "".join(f"%{ord(ch):02X}" if ch in "\"#%'*/:=?\\{[]^" or ord(ch) < 32 or ord(ch) == 127 else ch for ch in value)
+    return "".join(f"\\{ch}" if ch in "{},*?[]\\" else ch for ch in spelled)

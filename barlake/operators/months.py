@@ -45,43 +45,42 @@ def month_exists(
     ``take`` starts one task, and more only while no row has been found; a
     count over a limit, or ``isEmpty``, would start one for every file.
     """
+    if months_not_loaded(spark, table, [_first_day(year, month)]):
+        return False
     return bool(month_range(current(spark, table), year, month, symbol).select(F.lit(1)).take(1))
 
 
 def loaded_months(spark: SparkSession, table: str) -> DataFrame:
-    """Months that hold rows, from the catalog; no file is opened.
-
-    A partition appears only with its first row, so a listed month is a loaded one.
-    """
-    months = spark.sql(f"SHOW PARTITIONS {table}").select(partition_value(MONTH_COLUMN))
-    return months.select(F.col(MONTH_COLUMN).try_cast("date").alias(MONTH_COLUMN)).na.drop()
+    """Months of the catalog that hold rows, by the files in their folders; no file is opened."""
+    listed = spark.sql(f"SHOW PARTITIONS {table}").select(partition_value(MONTH_COLUMN).try_cast("date")).na.drop()
+    months = [row[0] for row in listed.distinct().collect()]
+    absent = set(months_not_loaded(spark, table, months))
+    return spark.createDataFrame([(m,) for m in months if m not in absent], f"{MONTH_COLUMN} date")
 
 
 def months_not_loaded(spark: SparkSession, table: str, months: list[dt.date]) -> list[dt.date]:
-    """Those of ``months`` without rows, by catalog and by folder.
+    """Those of ``months`` without rows. Status, plan, append and merge all ask here.
 
-    A month can be on disk without being in the catalog, after a driver was lost
-    between the two or when another session wrote it. Taken for new it would be
-    overwritten, so such months are registered first.
+    A month is loaded if its folder has a file with content. The catalog alone is no proof: a
+    driver lost during a write can leave a month listed whose files are gone, or files in a month
+    that is not listed. Months of the second kind are registered, as nothing would read them otherwise.
     """
-    loaded = {row[MONTH_COLUMN] for row in loaded_months(spark, table).collect()}
-    absent = [m for m in months if m not in loaded]
-    if not absent:
+    if not months:
         return []
     # The marker of earlier writes is there in any case, so the pattern finds something.
-    folders = ",".join(["_SUCCESS", *(f"{MONTH_COLUMN}={m}" for m in absent)])
+    folders = ",".join(["_SUCCESS", *(f"{MONTH_COLUMN}={m}" for m in sorted(set(months)))])
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
         found = files.load(f"{table_location(spark, table)}/{{{folders}}}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return absent
+        return list(months)
     month = F.regexp_extract("path", f"/{MONTH_COLUMN}=([^/]+)/", 1).try_cast("date").alias(MONTH_COLUMN)
-    on_disk = {row[0] for row in found.select(month).na.drop().distinct().collect()}
+    on_disk = {row[0] for row in found.filter("length > 0").select(month).na.drop().distinct().collect()}
     for found_month in sorted(on_disk):
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({MONTH_COLUMN} = DATE'{found_month}')")
-    return [m for m in absent if m not in on_disk]
+    return [m for m in months if m not in on_disk]
 
 
 def loaded_units(spark: SparkSession, table: str, first: dt.date, last: dt.date) -> DataFrame:
@@ -91,7 +90,11 @@ def loaded_units(spark: SparkSession, table: str, first: dt.date, last: dt.date)
 
 
 def month_status(spark: SparkSession, table: str, months: DataFrame) -> DataFrame:
-    """``EXISTS`` or ``MISSING`` for every requested ``event_month``, in one join."""
-    loaded = loaded_months(spark, table).withColumn("there", F.lit(True))
-    status = F.when(F.col("there"), "EXISTS").otherwise("MISSING").alias("status")
-    return months.select(MONTH_COLUMN).join(loaded, MONTH_COLUMN, "left").select(MONTH_COLUMN, status)
+    """``EXISTS`` or ``MISSING`` for every requested ``event_month``.
+
+    The driver sees one row per calendar month.
+    """
+    asked = [row[0] for row in months.select(MONTH_COLUMN).na.drop().distinct().collect()]
+    absent = months_not_loaded(spark, table, asked)
+    there = F.col(MONTH_COLUMN).isin([m for m in asked if m not in absent])
+    return months.select(MONTH_COLUMN, F.when(there, "EXISTS").otherwise("MISSING").alias("status"))

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.calendar import month_of
-from barlake.schema import MONTH_COLUMN
+from barlake.schema import BAR_COLUMNS, MONTH_COLUMN, RAW_SCHEMA
 from barlake.session import adaptive_enabled, parquet_timestamps
 
-# Splits of one month when adaptive execution, which splits by size, is off.
-_STATIC_SPLITS = 32
-
 
 def ensure_table(spark: SparkSession, table: str, columns: str, source: str, partition: str, location: str) -> None:
     """Create namespace and table where missing; pick up partitions already on disk.
@@ -53,17 +50,10 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def create_bar_table(spark: SparkSession, table: str, location: str, with_symbol: bool = False) -> None:
     """Bar table partitioned by ``event_month``; ``with_symbol`` for tables of many symbols."""
-    symbol = "symbol STRING, " if with_symbol else ""
-    ensure_table(
-        spark,
-        table,
-        "open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE, "
-        "quote_asset_volume DOUBLE, trades BIGINT, taker_buy_base DOUBLE, "
-        f"taker_buy_quote DOUBLE, event_time TIMESTAMP, {symbol}{MONTH_COLUMN} DATE",
-        "parquet",
-        MONTH_COLUMN,
-        location,
-    )
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in RAW_SCHEMA.fields if f.name in BAR_COLUMNS]
+    symbol = ["symbol STRING"] if with_symbol else []
+    columns = ", ".join([*kept, "event_time TIMESTAMP", *symbol, f"{MONTH_COLUMN} DATE"])
+    ensure_table(spark, table, columns, "parquet", MONTH_COLUMN, location)
 
 
 def with_month(bars: DataFrame) -> DataFrame:
@@ -79,8 +69,9 @@ def clustered(df: DataFrame, *columns: str) -> DataFrame:
     """
     if adaptive_enabled(df.sparkSession):
         return df.hint("rebalance", *columns)
+    splits = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     time = "event_time" if "event_time" in df.columns else "open_time_ms"
-    return df.repartition(*columns, F.pmod(F.xxhash64(time), F.lit(_STATIC_SPLITS)))
+    return df.repartition(*columns, F.pmod(F.xxhash64(time), F.lit(splits)))
 
 
 def sorted_by_month(bars: DataFrame) -> DataFrame:

@@ -96,13 +96,18 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
 
 
-def _months_in(staged: DataFrame, keys: Sequence[str], unit: str | None) -> list:
-    """One row per month of the source: rows, rows without a key, and whether units may clash.
+def _out_of_range() -> Column:
+    """Times of years that a date can't be written for, such as microseconds read as milliseconds."""
+    return F.coalesce(~F.year("event_time").between(1, 9999), F.lit(False))
+
+
+def _months_in(staged: DataFrame, bad: Column, keys: Sequence[str], unit: str | None) -> list:
+    """One row per month of the source: rows, rows to keep out, and whether units may clash.
 
     Units that share no key cannot clash. With the symbol in the key, only a row
     outside the month of its unit can meet a row of another unit.
     """
-    rows = [F.count(F.lit(1)).alias("rows"), F.count_if(_any_null(keys)).alias("rejected")]
+    rows = [F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")]
     totals = [F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected")]
     if unit is None:
         per_unit, clash = staged.groupBy(MONTH_COLUMN).agg(*rows), F.lit(False)
@@ -160,7 +165,7 @@ def merge_into(
 ) -> MergeResult:
     """Upsert ``source`` into ``table``, rewriting only the months it has rows for.
 
-    A row goes to the month of its own time. Months the table does not hold yet
+    A row goes to the month of its own time; rows of years beyond 1 to 9999 are kept out as well. Months the table does not hold yet
     are written without any join. Rows without a key are kept out and returned
     in ``rejects``; with ``null_keys="insert"`` they are inserted, again on every
     call, as equality makes them. ``unit`` names a column that orders units
@@ -191,16 +196,15 @@ def _merge_staged(
     reject_null_keys: bool,
 ) -> MergeResult:
     columns = spark.table(table).columns
-    usable = stage.store(with_month(source).select(*columns, *([unit] if unit else [])))
-    summary = _months_in(usable, keys, unit)
-    rows, rejected = sum(m["rows"] for m in summary), 0
-    rejects = spark.createDataFrame([], usable.schema)
-    if reject_null_keys:
-        rejected = sum(m["rejected"] for m in summary)
-        if rejected:
-            rejects = _keep(spark, usable.filter(_any_null(keys)))
-        usable = usable.filter(~_any_null(keys))
-        summary = [m for m in summary if m["rows"] > m["rejected"]]
+    month = F.when(~_out_of_range(), F.col(MONTH_COLUMN)).alias(MONTH_COLUMN)
+    staged = with_month(source).select(*columns, *([unit] if unit else []))
+    usable = stage.store(staged.select(*(month if c == MONTH_COLUMN else c for c in staged.columns)))
+    bad = _out_of_range() | _any_null(keys) if reject_null_keys else _out_of_range()
+    summary = _months_in(usable, bad, keys, unit)
+    rows, rejected = sum(m["rows"] for m in summary), sum(m["rejected"] for m in summary)
+    rejects = _keep(spark, usable.filter(bad)) if rejected else spark.createDataFrame([], usable.schema)
+    usable = usable.filter(~bad)
+    summary = [m for m in summary if m["rows"] > m["rejected"]]
     if not summary:
         return MergeResult(rows, 0, 0, rejected, rejects)
 

@@ -6,12 +6,12 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.functions.calendar import month_start, zero_pad
 from barlake.operators.landing import land_archives
 from barlake.operators.upsert import DEFAULT_KEYS, MergeResult
-from barlake.operators.months import loaded_months, loaded_units
+from barlake.operators.months import loaded_units, months_not_loaded
 from barlake.plans.load import load_units
 from barlake.schema import MONTH_COLUMN, UNIT_COLUMNS
 from barlake.sources.manifest import landed_units, missing_from
@@ -57,10 +57,13 @@ def missing_months(spark: SparkSession, plan: DataFrame, table: str, by_symbol:
     due = plan.select(*UNIT_COLUMNS, month_start(F.col("year"), F.col("month")).alias(MONTH_COLUMN))
     if by_symbol:
         first, last = due.agg(F.min(MONTH_COLUMN), F.max(MONTH_COLUMN)).first()
+        months = [row[0] for row in due.select(MONTH_COLUMN).distinct().collect()]
+        months_not_loaded(spark, table, months)
         loaded = loaded_units(spark, table, first, last)
         due = due.join(loaded, ["symbol", MONTH_COLUMN], "left_anti")
     else:
-        due = due.join(loaded_months(spark, table), MONTH_COLUMN, "left_anti")
+        months = [row[0] for row in due.select(MONTH_COLUMN).distinct().collect()]
+        due = due.filter(F.col(MONTH_COLUMN).isin(months_not_loaded(spark, table, months)))
     return due.select(*UNIT_COLUMNS)
 
 
@@ -71,7 +74,7 @@ def backfill_run(
     plan: DataFrame,
     archives: str | None = None,
     keys: Sequence[str] = DEFAULT_KEYS,
-    time_unit: str = "ms",
+    time_unit: str | Column = "ms",
 ) -> BackfillResult:
     """Land what is missing, then upsert every planned unit in one job.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.functions.bars import to_bars
 from barlake.functions.calendar import month_start
@@ -13,7 +13,7 @@ from barlake.operators.upsert import DEFAULT_KEYS, MergeResult, merge_into
 from barlake.operators.months import month_exists, months_not_loaded
 from barlake.operators.table import append_bars
 from barlake.schema import MONTH_COLUMN, UNIT_SCHEMA
-from barlake.sources.manifest import landed_units, missing_from
+from barlake.sources.manifest import landed_units, unit_is_landed
 from barlake.sources.units import unit_label
 
 _UNIT_LABEL = "unit_label"
@@ -32,7 +32,7 @@ def load_raw(
     table: str,
     raw: DataFrame,
     keys: Sequence[str] = DEFAULT_KEYS,
-    time_unit: str = "ms",
+    time_unit: str | Column = "ms",
 ) -> MergeResult:
     """Upsert raw rows with unit columns, from whatever source, in one job.
 
@@ -49,7 +49,7 @@ def load_units(
     table: str,
     units: DataFrame | None = None,
     keys: Sequence[str] = DEFAULT_KEYS,
-    time_unit: str = "ms",
+    time_unit: str | Column = "ms",
 ) -> MergeResult:
     """Upsert landed units, all of them in one job."""
     return load_raw(spark, table, scan_landed(spark, landing, units), keys, time_unit)
@@ -64,11 +64,11 @@ def load_month(
     month: int | str,
     keys: Sequence[str] = DEFAULT_KEYS,
     skip_if_exists: bool = False,
-    time_unit: str = "ms",
+    time_unit: str | Column = "ms",
 ) -> MergeResult | None:
     """Upsert one landed unit; ``None`` when skipped because the month holds rows."""
     unit = _one_unit(spark, symbol, year, month)
-    if not missing_from(unit, landed_units(spark, landing)).isEmpty():
+    if not unit_is_landed(spark, landing, symbol, year, month):
         raise MissingRawFile(f"{symbol} {year}-{month} has not been landed")
     if skip_if_exists:
         by_symbol = symbol if "symbol" in keys else None
@@ -78,7 +78,7 @@ def load_month(
 
 
 def append_if_missing(
-    spark: SparkSession, landing: str, table: str, units: DataFrame | None = None, time_unit: str = "ms"
+    spark: SparkSession, landing: str, table: str, units: DataFrame | None = None, time_unit: str | Column = "ms"
 ) -> None:
     """Append the units whose month holds no row yet; skip the others whole.
 

@@ -34,22 +34,22 @@ class Stage:
 
     A stored copy is computed once, gives every read the same rows, and does not
     have to be computed again when executors are lost. Copies are managed tables
-    of a namespace in that folder, so dropping them removes their files.
+    of a namespace in that folder, so dropping them removes their files. Each stage has a namespace
+    of its own: a persistent catalog would keep the folder of the session that made a shared one.
     """
 
-    _NAMESPACE = "barlake_stage"
-
     def __init__(self, spark: SparkSession):
         self._spark = spark
+        self._namespace = f"barlake_stage_{uuid.uuid4().hex}"
         self._tables: list[str] = []
 
     def __enter__(self) -> Stage:
         location = _shared_root(self._spark).replace("'", "\\'")
-        self._spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self._NAMESPACE} LOCATION '{location}/stage'")
+        self._spark.sql(f"CREATE NAMESPACE {self._namespace} LOCATION '{location}/{self._namespace}'")
         return self
 
     def store(self, rows: DataFrame) -> DataFrame:
-        table = f"{self._NAMESPACE}.rows_{uuid.uuid4().hex}"
+        table = f"{self._namespace}.rows_{uuid.uuid4().hex}"
         self._tables.append(table)
         with parquet_timestamps(rows.sparkSession):
             rows.write.saveAsTable(table, format="parquet")
@@ -58,6 +58,7 @@ class Stage:
     def __exit__(self, *_) -> None:
         for table in self._tables:
             self._spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._spark.sql(f"DROP NAMESPACE IF EXISTS {self._namespace}")
 
 
 def adaptive_enabled(spark: SparkSession) -> bool:

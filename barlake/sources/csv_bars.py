@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from barlake.schema import RAW_COLUMNS, RAW_SCHEMA, UNIT_COLUMNS
-from barlake.sources.units import only_units, units_from_name
+from barlake.sources.units import has_unit_name, only_units, units_from_name
 
 
 def scan_bars_csv(spark: SparkSession, path: str | list[str], corrupt_column: str | None = None) -> DataFrame:
@@ -25,11 +25,13 @@ def scan_named_files(spark: SparkSession, root: str, units: DataFrame | None = N
     """Bar files landed by others as ``year=/month=/{symbol}-1m-{yyyy}-{mm}.csv``.
 
     The symbol exists only in the file name, so it is read from the file
-    metadata; a filter on it skips whole files.
+    metadata; a filter on it skips whole files. Files whose name tells no unit are not bars and
+    give no rows.
     """
     schema = T.StructType([*RAW_SCHEMA.fields, *(T.StructField(c, T.StringType()) for c in ("year", "month"))])
     symbol = units_from_name(F.col("_metadata.file_name"))[0]
-    raw = spark.read.schema(schema).csv(root).withColumn("symbol", symbol)
+    files = spark.read.schema(schema).csv(root).filter(has_unit_name(F.col("_metadata.file_name")))
+    raw = files.withColumn("symbol", symbol)
     if units is not None:
         raw = only_units(raw, units)
     return raw.select(*RAW_COLUMNS, *UNIT_COLUMNS)

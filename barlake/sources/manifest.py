@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.schema import UNIT_COLUMNS
@@ -19,6 +21,17 @@ def landed_units(spark: SparkSession, landing: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {landing}").select(*(partition_value(c) for c in UNIT_COLUMNS))
 
 
+def partition_spec(unit: Sequence[str]) -> str:
+    quote = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "PARTITION (" + ", ".join(f"{c} = {quote(v)}" for c, v in zip(UNIT_COLUMNS, unit)) + ")"
+
+
+def unit_is_landed(spark: SparkSession, landing: str, symbol: str, year: int | str, month: int | str) -> bool:
+    """Whether the catalog has one unit; it is asked for no other."""
+    spec = partition_spec((symbol, str(year), str(month).zfill(2)))
+    return not spark.sql(f"SHOW PARTITIONS {landing} {spec}").isEmpty()
+
+
 def file_manifest(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """Files whose name carries the unit, with size and time.
 

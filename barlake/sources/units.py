@@ -7,13 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from barlake.schema import UNIT_COLUMNS
 
 # Up to this many units are turned into literals, which prune partitions and
-# files before anything is read.
+# files before anything is read. More are joined as Spark sees fit; the rows are the same.
 MAX_LITERAL_UNITS = 5_000
 
-# More units are joined: broadcast up to this many (some 50 MB), which spares the
-# other side a shuffle, and as Spark sees fit beyond.
-MAX_BROADCAST_UNITS = 500_000
-
 # ``{symbol}-1m-{yyyy}-{mm}.{extension}``
 _NAME_PATTERN = r"([^/]+)-1m-(\d+)-(\d+)\.[^./]+$"
 
@@ -58,6 +54,4 @@ def only_units(df: DataFrame, units: DataFrame) -> DataFrame:
     # One value per calendar month still prunes whole partitions.
     months = [tuple(r) for r in units.select("year", "month").distinct().collect()]
     in_month = F.concat_ws("-", "year", "month").isin([f"{y}-{m}" for y, m in months])
-    if units.limit(MAX_BROADCAST_UNITS + 1).count() <= MAX_BROADCAST_UNITS:
-        units = F.broadcast(units)
     return df.filter(in_month).join(units, UNIT_COLUMNS, "left_semi")

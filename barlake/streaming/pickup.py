@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.bars import to_bars
 from barlake.operators.upsert import DEFAULT_KEYS, MergeResult, merge_into
-from barlake.schema import RAW_SCHEMA, UNIT_SCHEMA
-from barlake.sources.units import unit_label
+from barlake.schema import RAW_SCHEMA, UNIT_COLUMNS, UNIT_SCHEMA
+from barlake.sources.units import unit_label, units_from_name
 
 _UNIT_LABEL = "unit_label"
 
+# Files of any age are due: by default the source passes over files a week older than the newest.
+_ANY_AGE = "36500d"
+
 
 def pick_up_landed(
     spark: SparkSession,
@@ -22,10 +25,18 @@ def pick_up_landed(
     checkpoint: str,
     keys: Sequence[str] = DEFAULT_KEYS,
     max_files: int = 10_000,
-    time_unit: str = "ms",
+    time_unit: str | Column = "ms",
     report: Callable[[int, MergeResult], None] | None = None,
 ) -> StreamingQuery:
-    """Upsert the files of a landing table that no earlier run has seen, then stop.
+    """Upsert the files of a landing folder that no earlier run has seen, then stop.
+
+    ``location`` holds the files of a landing table, or files named by their unit in
+    ``year=/month=`` folders; the symbol then comes from the name. A file that names no
+    unit either way is an error.
+
+    The result does not depend on ``max_files``, which cuts the work. So the keys have to
+    tell the symbols of a table apart: without the symbol among them, which of two symbols at one time
+    stays would depend on the batches, and a table that stores the symbol is refused.
 
     The checkpoint remembers files by path, so a unit rewritten under the same
     file name is not seen; load forced units with ``load_units``. A batch run
@@ -33,9 +44,15 @@ def pick_up_landed(
     as a key occurs once in it. ``report`` gets the number and the result of each
     batch, with the rows kept out of it.
     """
+    if "symbol" in spark.table(table).columns and "symbol" not in keys:
+        raise ValueError("keys of a table of many symbols must include the symbol")
     schema = T.StructType([*RAW_SCHEMA.fields, *UNIT_SCHEMA.fields])
-    landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).csv(location)
-    bars = to_bars(landed.withColumn(_UNIT_LABEL, unit_label()), time_unit)
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).option("maxFileAge", _ANY_AGE)
+    landed = files.csv(location)
+    named = units_from_name(F.col("_metadata.file_name"))
+    error = F.raise_error(F.concat(F.lit("no unit in the path of "), F.col("_metadata.file_path"))).cast("string")
+    units = {c: F.coalesce(c, F.nullif(n, F.lit("")), error) for c, n in zip(UNIT_COLUMNS, named)}
+    bars = to_bars(landed.withColumns(units).withColumn(_UNIT_LABEL, unit_label()), time_unit)
 
     def upsert(batch: DataFrame, number: int) -> None:
         # The caller's session, not the stream's copy of it: its view of the table

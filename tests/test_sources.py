@@ -147,12 +147,8 @@ def test_many_units_take_the_join(spark, named_files, monkeypatch):
     monkeypatch.setattr(units_module, "MAX_LITERAL_UNITS", 1)
     many = only_units(raw, units)
     plan = many._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftSemi" in plan and "rightHint=(strategy=broadcast)" in plan
+    assert "LeftSemi" in plan and "strategy=broadcast" not in plan
     assert rows_of(few) == rows_of(many) and few.count() == 2
-    monkeypatch.setattr(units_module, "MAX_BROADCAST_UNITS", 1)
-    more = only_units(raw, units)
-    assert "strategy=broadcast" not in more._jdf.queryExecution().optimizedPlan().toString()
-    assert rows_of(more) == rows_of(few)
     assert only_units(raw, units.limit(0)).count() == 0
 
 
