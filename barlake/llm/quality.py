@@ -129,17 +129,13 @@ def prose_rules() -> list[Rule]:
     ]
 
 
-def _sample(rows: DataFrame, size: int) -> DataFrame:
-    total = rows.count()
-    return rows.sample(min(1.0, size / max(1, total)), seed=7)
-
-
-def by_rejection_per_cost(rows: DataFrame, rules: Sequence[Rule], sample_rows: int = 2000) -> list[Rule]:
-    """Rules with the most rejections per second first, as measured on a sample of prepared rows.
+def by_rejection_per_cost(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = 2000) -> list[Rule]:
+    """Rules with the most rejections per second first, as measured on a sample of documents.
 
     ``sample_rows`` is the expected size of the sample; it decides only the order.
     """
-    sample = stored(_sample(rows, sample_rows).select("_text", "_words"), "quality-sample")
+    few = docs.select("text").sample(min(1.0, sample_rows / max(1, docs.count())), seed=7)
+    sample = stored(_prepared(few).select("_text", "_words"), "quality-sample")
     rejected = sample.agg(*(F.count_if(r.reject).alias(r.name) for r in rules)).first()
 
     def seconds(condition: Column) -> float:
@@ -169,7 +165,7 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] | None = None, sample_
     row is judged by itself: repeated rows get the same verdict, no rows give no rows.
     """
     rows = _prepared(docs.select("doc_id", "text"))
-    ordered = by_rejection_per_cost(rows, prose_rules() if rules is None else rules, sample_rows)
+    ordered = by_rejection_per_cost(docs, prose_rules() if rules is None else rules, sample_rows)
     counts = {
         "n_words": n_words(),
         "word_chars": word_chars(),
@@ -194,5 +190,5 @@ def drop_low_quality(docs: DataFrame, rules: Sequence[Rule] | None = None, sampl
     A null text counts as empty, so the base rules reject it.
     """
     rows = _prepared(docs)
-    ordered = by_rejection_per_cost(rows, [*base_rules(), *prose_rules()] if rules is None else rules, sample_rows)
+    ordered = by_rejection_per_cost(docs, [*base_rules(), *prose_rules()] if rules is None else rules, sample_rows)
     return rows.filter(passes(ordered)).select("row.*")

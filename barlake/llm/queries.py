@@ -82,7 +82,7 @@ def op7_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_min_max_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicate_groups(_documents(spark, sf_dir))
-    return rows.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
