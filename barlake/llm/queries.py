@@ -225,6 +225,27 @@ _PASSAGES = f"""
 """
 
 
+_QUALITY = f"""
+    WITH w AS (SELECT doc_id, coalesce(text, '') AS t, {_UNCHANGED} AS w, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+    p AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS win
+          FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM w)),
+    d AS (SELECT doc_id, win FROM p GROUP BY doc_id, win HAVING count(*) > 1),
+    r AS (SELECT doc_id, count(DISTINCT k) AS n FROM
+          (SELECT doc_id, unnest([i, i + 1, i + 2]) AS k FROM p JOIN d USING (doc_id, win)) GROUP BY doc_id),
+    c AS (SELECT w.doc_id, cast(len(w) AS bigint) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                 length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                 cast(len(list_filter(l, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) - len(list_distinct(
+                     list_filter(l, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS bigint) AS n_dup_lines,
+                 coalesce(r.n, 0) AS n_repeat_words, len(l) AS n_lines,
+                 length(regexp_replace(t, '[^\\p{{L}}]', '', 'g')) AS n_letters
+          FROM w LEFT JOIN r ON r.doc_id = w.doc_id),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 2 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                OR 10 * n_letters < 6 * word_chars OR 10 * n_dup_lines > 5 * n_lines) AS kept FROM b
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_wu_manber_decontamination": _DECONTAMINATION,
@@ -232,4 +253,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_super_kmer_dedup": _PASSAGES,
         "op8_min_max_near_dedup": _NEAR_DUPLICATES,
         "op9_line_dedup": _LINE_DEDUP,
+        "op10_quality_cascade": _QUALITY,
     }
