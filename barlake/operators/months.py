@@ -43,11 +43,13 @@ def month_exists(
     """Does the month hold any row?
 
     ``take`` starts one task, and more only while no row has been found; a
-    count over a limit, or ``isEmpty``, would start one for every file.
+    count over a limit, or ``isEmpty``, would start one for every file. Only if there is none, the folder is
+    asked as well: the month may be on disk and not in the catalog.
     """
-    if months_not_loaded(spark, table, [_first_day(year, month)]):
-        return False
-    return bool(month_range(current(spark, table), year, month, symbol).select(F.lit(1)).take(1))
+    holds_row = lambda: bool(
+        month_range(current(spark, table), year, month, symbol).select(F.lit(1)).take(1)
+    )
+    return holds_row() or (not months_not_loaded(spark, table, [_first_day(year, month)]) and holds_row())
 
 
 def loaded_months(spark: SparkSession, table: str) -> DataFrame:
