@@ -38,6 +38,9 @@ class LineRuns:
     ``add`` takes the lines of a batch (doc_id, h1, h2), whose doc_ids are above those of
     earlier batches, and returns the hashes found more than once so far:
     h1, h2 and ``holder``, the smallest doc_id.
+
+    Bucketing needs tables: runs are tables named ``line_run_…`` of the session's current database,
+    with their files in the shared folder. Results read them, so they are left to the caller to drop.
     """
 
     def __init__(self, spark: SparkSession, buckets: int | None = None, fan_in: int = 3):
