@@ -2,8 +2,9 @@
 
 Token counts come from a public tokenizer. Pieces are dealt into groups of bounded size
 and each group is packed by branch and bound: the largest piece left opens a sequence,
-undominated fillings of the rest of the sequence are tried in the order of the waste they leave, and a
-branch ends when its waste can no longer beat the best packing known, at first best-fit decreasing.
+all undominated fillings of the rest of the sequence are tried in the order of the waste they leave, and a
+branch ends when its waste can no longer beat the best packing known, at first best-fit decreasing. Only the
+effort of the search is bounded: when it is used up, the best packing known so far stays.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ import math
 import os
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -167,7 +170,8 @@ def best_fit_decreasing(counts: Counter, capacity: int) -> list[list[int]]:
 class _Left:
     """Pieces not yet placed: counts by size, and the sizes at hand as bits, upwards and downwards.
 
-    ``effort`` is the number of sums that may still be looked for.
+    ``effort`` is the number of sums that may still be looked for; adding four sizes to the
+    sums of all pieces takes about as long and counts as one.
     """
 
     def __init__(self, counts: Counter, capacity: int, effort: int):
@@ -175,6 +179,7 @@ class _Left:
         self.effort = effort
         self.counts = [0] * (capacity + 1)
         self.up = self.down = 0
+        self._owner: object | None = None
         for size, n in counts.items():
             self.add(size, n)
 
@@ -202,54 +207,138 @@ class _Left:
             if 2 * small != total or self.counts[small] > 1:
                 yield total - small, small
 
-    def fillings(self, room: int, waste: int) -> Iterator[tuple[int, ...]]:
+    def triples(self, total: int) -> Iterator[tuple[int, int, int]]:
+        least = (self.up & -self.up).bit_length() - 1
+        bits = self.up & ((1 << (total // 3 + 1)) - 1)
+        bits &= -1 << max(0, total - 2 * self.largest(total - 2 * least))
+        while bits and self.effort > 0:
+            third = (bits & -bits).bit_length() - 1
+            bits &= bits - 1
+            for large, small in self.pairs(total - third):
+                if small < third:
+                    break
+                if small > third or self.counts[third] > 1 + (large == third):
+                    yield large, small, third
+
+    def _sums(self, room: int, owner: object) -> tuple[list[int], list[int]]:
+        """Sizes up to ``room``, and as bits the sums of pieces of the first 0, 1, 2, ... of them.
+
+        Kept for one owner at a time, as every open sequence would need its own.
+        """
+        if self._owner is not owner:
+            sizes, sums, mask = [], [1], (1 << (room + 1)) - 1
+            bits = self.up & mask
+            while bits:
+                size = (bits & -bits).bit_length() - 1
+                bits &= bits - 1
+                new, n, copies = sums[-1], min(self.counts[size], room // size), 1
+                while n:
+                    copies = min(copies, n)
+                    new |= new << (copies * size)
+                    n -= copies
+                    copies *= 2
+                sizes.append(size)
+                sums.append(new & mask)
+            self.effort -= 1 + len(sizes) // 4
+            self._owner, self._known = owner, (sizes, sums)
+        return self._known
+
+    def many(self, room: int, owner: object, total: int, least: int, first: int | None = None) -> Iterator[tuple[int, ...]]:
+        """All fillings of volume ``total`` with ``least`` pieces or more, of the ``first`` smallest sizes."""
+        if not total:
+            if least <= 0:
+                yield ()
+            return
+        sizes, sums = self._sums(room, owner)
+        at = bisect_right(sizes, total, hi=first)
+        while self.effort > 0 and sums[at] >> total & 1:
+            self.effort -= 1
+            at -= 1
+            for n in range(min(self.counts[sizes[at]], total // sizes[at]), 0, -1):
+                rest = total - n * sizes[at]
+                if sums[at] >> rest & 1:
+                    for others in self.many(room, owner, rest, least - n, at):
+                        yield (sizes[at],) * n + others
+                    sizes, sums = self._sums(room, owner)
+
+    def dominated(self, filling: tuple[int, ...], slack: int) -> bool:
+        """Whether a piece at hand could be added, or take the place of one or two pieces and waste no more."""
+        if not slack and len(filling) == 2:
+            return False
+        used = Counter(filling)
+        self.effort -= 4 + len(used) ** 2
+        free = self.up
+        for size, n in used.items():
+            if n == self.counts[size]:
+                free &= ~(1 << size)
+        if free & ((1 << (slack + 1)) - 1):
+            return True
+        if slack and any(free >> (s + 1) & ((1 << slack) - 1) for s in used):
+            return True
+        two = {a + b for a in used for b in used if a > b} | {2 * a for a, n in used.items() if n > 1}
+        return any(free >> s & ((1 << (slack + 1)) - 1) for s in two)
+
+    def few(self, room: int, waste: int, one: int) -> Iterator[tuple[int, ...]]:
+        """Fillings of up to three pieces; the search adds smaller ones that still fit."""
+        for total in range(room, max(one, room - waste - 1), -1):
+            if self.effort <= 0:
+                return
+            yield from self.pairs(total)
+            yield from self.triples(total)
+        if room - one <= waste or self.up & ((1 << (room - one + 1)) - 1):
+            yield (one,)
+
+    def all(self, room: int, waste: int, one: int) -> Iterator[tuple[int, ...]]:
+        """All undominated fillings, of any number of pieces, while effort lasts."""
+        owner, total = object(), room
+        while total > max(one, room - waste - 1) and self.effort > 0:
+            for filling in chain(self.pairs(total), self.triples(total), self.many(room, owner, total, 4)):
+                if not self.dominated(filling, room - total):
+                    yield filling
+            total = (self._sums(room, owner)[1][-1] & ((1 << total) - 1)).bit_length() - 1
+        if self.effort > 0 and room - one <= waste and not self.dominated((one,), room - one):
+            yield (one,)
+
+    def fillings(self, room: int, waste: int, whole: bool) -> Iterator[tuple[int, ...]]:
         """Fillings of ``room`` by falling volume, without those that a single piece dominates.
 
-        A piece of size y takes the place of any filling of volume y or less, so after the
-        largest piece that fits only pairs and triples of more volume are worth a try. None of
+        A piece of size y takes the place of any filling of volume y or less, so only the
+        largest piece that fits and fillings of more volume are worth a try. None of
         the fillings leaves more than ``waste``.
         """
         one = self.largest(room)
-        if one < 0:
-            if room <= waste:
-                yield ()
-            return
-        if one < room:
-            bits = self.up & ((1 << (room // 3 + 1)) - 1)
-            thirds = []
-            while bits and len(thirds) < 24:
-                low = (bits & -bits).bit_length() - 1
-                thirds.append(low)
-                bits &= bits - 1
-            for total in range(room, max(one, room - waste - 1), -1):
-                if self.effort <= 0:
-                    return
-                yield from self.pairs(total)
-                for third in thirds:
-                    for large, small in self.pairs(total - third):
-                        need = Counter((large, small, third))
-                        if small >= third and all(self.counts[s] >= n for s, n in need.items()):
-                            yield large, small, third
-                            break
-        if room - one <= waste or self.up & ((1 << (room - one + 1)) - 1):
+        if one == room:
             yield (one,)
+        elif one >= 0:
+            yield from (self.all if whole else self.few)(room, waste, one)
+        elif room <= waste:
+            yield ()
 
 
 def bin_completion(counts: Counter, capacity: int, effort: int = 500_000) -> list[list[int]]:
-    """Sequences as lists of sizes. ``effort`` bounds the search for fillings, not the pieces placed."""
+    """Sequences as lists of sizes. ``effort`` bounds the search for fillings, not the pieces placed.
+
+    Up to half of it goes to fillings of few pieces, which keep small pieces for later; the rest to
+    all fillings. The result is optimal if effort is left.
+    """
     best = best_fit_decreasing(counts, capacity)
     bound = lower_bound(counts, capacity)
     total = sum(s * n for s, n in counts.items())
-    while len(best) > bound and effort > 0:
-        better, effort = _search(counts, capacity, (len(best) - 1) * capacity - total, effort)
-        if better is None:
-            break
-        best = better
+    kept = effort // 2
+    for whole in (False, True):
+        effort = effort + kept if whole else effort - kept
+        while len(best) > bound and effort > 0:
+            better, effort = _search(counts, capacity, (len(best) - 1) * capacity - total, effort, whole)
+            if better is None:
+                break
+            best = better
     return best
 
 
-def _search(counts: Counter, capacity: int, waste: int, effort: int) -> tuple[list[list[int]] | None, int]:
-    """A packing that wastes at most ``waste``, or None if there is none or the effort is used up."""
+def _search(
+    counts: Counter, capacity: int, waste: int, effort: int, whole: bool
+) -> tuple[list[list[int]] | None, int]:
+    """A packing that wastes at most ``waste``, or None if the effort is used up or, with ``whole``, if there is none."""
     left = _Left(counts, capacity, effort)
     path: list[tuple[int, Iterator, tuple[int, ...] | None, int]] = []
     spent = 0
@@ -257,7 +346,7 @@ def _search(counts: Counter, capacity: int, waste: int, effort: int) -> tuple[li
     def open_bin() -> None:
         first = left.largest(capacity)
         left.take(first)
-        path.append((first, left.fillings(capacity - first, waste - spent), None, 0))
+        path.append((first, left.fillings(capacity - first, waste - spent, whole), None, 0))
 
     if not left.up:
         return [], effort

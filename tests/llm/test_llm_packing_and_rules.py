@@ -112,6 +112,20 @@ def test_bin_completion_finds_optimal_packings():
     assert better
 
 
+def test_bin_completion_tries_fillings_of_many_pieces():
+    counts = Counter([1000, 900, 300, 300, 290, 290, 290, 278, 224, 224])
+    found = bin_completion(counts, 2048)
+    assert len(found) == 2 and Counter(s for b in found for s in b) == counts
+
+
+def test_bin_completion_fills_up_copies_with_many_pieces():
+    rng = random.Random(5)
+    counts = Counter([1000] * 200 + [rng.randint(150, 300) for _ in range(400)])
+    found = bin_completion(counts, 2048)
+    assert Counter(s for b in found for s in b) == counts and max(map(sum, found)) <= 2048
+    assert lower_bound(counts, 2048) <= len(found) < len(best_fit_decreasing(counts, 2048))
+
+
 def check_packing(rows, placed, tokenizer, capacity):
     pieces = defaultdict(list)
     for r in placed:
