@@ -40,6 +40,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def links_by_number(pages: DataFrame) -> DataFrame:
+    """(page_id, doc_id) by the last number that is a part of the url's path; pages without one give no row."""
+    number = F.regexp_extract(path_of(F.col("url")), r"^.*/([0-9]+)(?:[./]|$)", 1)
+    links = pages.select("page_id", F.nullif(number, F.lit("")).try_cast("bigint").alias("doc_id"))
+    return links.filter("doc_id IS NOT NULL").distinct()
+
+
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits; null if none does. The longer host decides between equals."""
     if len(rules) > MAX_RULES:
@@ -130,6 +137,7 @@ def judge_pages(
     max_bad: float = 0.5,
     sigmas: float = 1.645,
     double_suffixes: Sequence[str] = (),
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, bad_rate and lower_bound for every row of ``pages`` (page_id, url).
 
@@ -137,8 +145,11 @@ def judge_pages(
     Without one, a page is blocked if the lower bound of its host's bad rate exceeds ``max_bad``.
     A null url, or one without ``://``, has an empty host, which is a host like others. ``labels``
     (page_id, bad) may be empty: all rates are then one half and nothing is blocked by them.
-    Repeated rows are judged alike and stay; a null page_id has no label.
+    Repeated rows are judged alike and stay; a null page_id has no label. With ``links`` (page_id, doc_id)
+    labels are (doc_id, bad) and tell the outcome of every page made of that document.
     """
+    if links is not None:
+        labels = links.select("page_id", "doc_id").distinct().join(labels, "doc_id").select("page_id", "bad")
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     known = host_reputation(rows.select("page_id", "host"), labels, sigmas, double_suffixes)
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)

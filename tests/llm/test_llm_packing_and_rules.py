@@ -17,7 +17,7 @@ from barlake.llm.packing import (
 )
 from barlake.llm.sharding import lpt, shard_documents
 from barlake.llm.token_counts import SPACE, PieceTrie, token_counts, zipf_pieces
-from barlake.llm.url_filter import RULES, judge_pages, strength
+from barlake.llm.url_filter import RULES, judge_pages, links_by_number, strength
 
 ROWS = brute.documents(2)
 
@@ -256,6 +256,18 @@ def test_reputation_shrinks_towards_the_domain(spark):
     assert strength(0, 0, 0, 0, 0) == 10 and 1 <= strength(100, 50, 40, 1000, 10) <= 999
 
 
+def test_labels_reach_pages_by_their_document(spark):
+    """Documents 100 to 139 are bad; pages 0 to 39 are made of them, and pages 100 to 139 of others."""
+    pages = [(i, f"http://bad.one.net/en/{100 + i}.html?page=2") for i in range(40)]
+    pages += [(100 + i, f"https://good.two.net/en/{900 + i}/#top") for i in range(40)] + [(7000, "http://bad.one.net/x"), (7001, None)]
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame([(100 + i, True) for i in range(40)] + [(900 + i, False) for i in range(40)] + [(100, False)], "doc_id long, bad boolean")
+    links = links_by_number(pages)
+    assert {tuple(r) for r in links.collect()} == {(i, 100 + i) for i in range(40)} | {(100 + i, 900 + i) for i in range(40)}
+    got = judge_pages(pages, labels, links=links.unionByName(links)).select("host", "verdict").distinct().collect()
+    assert {tuple(r) for r in got} == {("bad.one.net", "block"), ("good.two.net", "allow"), ("", "allow")}
+
+
 # Pipeline
 
 
