@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.bars import to_bars
+from barlake.functions.calendar import month_of
 from barlake.operators.upsert import DEFAULT_KEYS, MergeResult, merge_into
-from barlake.schema import RAW_SCHEMA, UNIT_COLUMNS, UNIT_SCHEMA
+from barlake.schema import MONTH_COLUMN, RAW_SCHEMA, UNIT_COLUMNS, UNIT_SCHEMA
+from barlake.session import Stage, parquet_timestamps
 from barlake.sources.units import unit_label, units_from_name
 
 _UNIT_LABEL = "unit_label"
@@ -18,6 +20,36 @@ _UNIT_LABEL = "unit_label"
 _ANY_AGE = "36500d"
 
 
+_BATCH = "batch"
+
+
+def _not_outdone(
+    spark: SparkSession, stage: Stage, known: str, number: int, batch: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """Rows of a batch whose keys no earlier batch has had from a later unit; the labels of their keys are kept.
+
+    Keys are kept by month in a folder of each batch, which a batch run again replaces and does not read.
+    """
+    held = F.year("event_time").between(1, 9999)  # the merge keeps others out
+    month = F.when(held, F.date_format(month_of(F.col("event_time")), "yyyy-MM")).alias(MONTH_COLUMN)
+    rows = stage.store(batch.select("*", month))
+    own = rows.select(*keys, _UNIT_LABEL, MONTH_COLUMN).na.drop()
+    months = [r[0] for r in own.select(MONTH_COLUMN).distinct().collect()]
+    schema = T.StructType([*own.schema.fields, T.StructField(_BATCH, T.LongType())])
+    path = spark._jvm.org.apache.hadoop.fs.Path(known)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    if there:
+        earlier = spark.read.schema(schema).parquet(known).filter(F.col(_BATCH) < number).filter(F.col(MONTH_COLUMN).isin(months))
+        latest = earlier.groupBy(*keys).agg(F.max(_UNIT_LABEL).alias("latest"))
+        joined = rows.join(latest, list(keys), "left")
+        rows = joined.filter(F.col("latest").isNull() | (F.col(_UNIT_LABEL) >= F.col("latest"))).drop("latest")
+    with parquet_timestamps(spark):
+        own.groupBy(*keys, MONTH_COLUMN).agg(F.max(_UNIT_LABEL).alias(_UNIT_LABEL)).write.mode("overwrite").partitionBy(
+            MONTH_COLUMN
+        ).parquet(f"{known}/{_BATCH}={number}")
+    return rows.drop(MONTH_COLUMN)
+
+
 def pick_up_landed(
     spark: SparkSession,
     location: str,
@@ -34,9 +66,10 @@ def pick_up_landed(
     ``year=/month=`` folders; the symbol then comes from the name. A file that names no
     unit either way is an error.
 
-    The result does not depend on ``max_files``, which cuts the work. So the keys have to
-    tell the symbols of a table apart: without the symbol among them, which of two symbols at one time
-    stays would depend on the batches, and a table that stores the symbol is refused.
+    The result does not depend on ``max_files``, which cuts the work: of units that share a key the last by month,
+    then symbol, gives the values, whichever batch or run reads it. For that the unit of every key is kept in
+    ``unit_labels`` under ``checkpoint``; keys of files that an older version picked up are not there. A table that
+    stores the symbol is refused without the symbol among the keys.
 
     The checkpoint remembers files by path, so a unit rewritten under the same
     file name is not seen; load forced units with ``load_units``. A batch run
@@ -57,7 +90,9 @@ def pick_up_landed(
     def upsert(batch: DataFrame, number: int) -> None:
         # The caller's session, not the stream's copy of it: its view of the table
         # stays current, and it has adaptive execution, which a stream turns off.
-        done = merge_into(spark, table, batch, keys, unit=_UNIT_LABEL)
+        with Stage(spark) as stage:
+            due = _not_outdone(spark, stage, f"{checkpoint.rstrip('/')}/unit_labels", number, batch, keys)
+            done = merge_into(spark, table, due, keys, unit=_UNIT_LABEL)
         if report is not None:
             report(number, done)
 

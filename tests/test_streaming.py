@@ -1,3 +1,7 @@
+import time
+
+import pytest
+
 from barlake.operators import land_raw
 from barlake.operators.table import table_location
 from barlake.streaming import pick_up_landed
@@ -29,3 +33,19 @@ def test_each_file_is_picked_up_once(spark, make_landing, make_table, tmp_path):
     run()
     assert closes() == [2.0, 7.0]
     assert batches == [(0, 1, 1, 0), (1, 1, 1, 0), (2, 1, 1, 0), (3, 1, 0, 1)]
+
+
+@pytest.mark.parametrize("max_files", [1, 10_000])
+@pytest.mark.parametrize("with_symbol", [False, True])
+def test_the_last_unit_stays_however_files_are_dealt(spark, make_landing, make_table, tmp_path, with_symbol, max_files):
+    """The unit that wins a key lands first; without the symbol in the table it is the later symbol."""
+    landing, table = make_landing(), make_table(with_symbol)
+    late, early = (("A", "2023", "02"), ("A", "2023", "01")) if with_symbol else (("B", "2023", "02"), ("A", "2023", "02"))
+    for close, unit in ((2.0, late), (1.0, early)):
+        land_raw(spark, landing, raw_frame(spark, [(*unit, "2023-02-01 00:00", close)]))
+        time.sleep(1.1)  # files are read by the time they were written
+    keys = ["symbol", "event_time"] if with_symbol else ["event_time"]
+    pick_up_landed(
+        spark, table_location(spark, landing), table, str(tmp_path / "checkpoint"), keys, max_files=max_files
+    ).awaitTermination()
+    assert [c for _, c in bars(spark.table(table))] == [2.0]
