@@ -48,11 +48,13 @@ class Stage:
         self._spark.sql(f"CREATE NAMESPACE {self._namespace} LOCATION '{location}/{self._namespace}'")
         return self
 
-    def store(self, rows: DataFrame) -> DataFrame:
+    def store(self, rows: DataFrame, buckets: int = 0, by: str = "") -> DataFrame:
+        """``buckets`` over the values of ``by``: a later join or grouping on that column reads rows where they lie."""
         table = f"{self._namespace}.rows_{uuid.uuid4().hex}"
         self._tables.append(table)
+        writer = rows.write.bucketBy(buckets, by) if buckets else rows.write
         with parquet_timestamps(rows.sparkSession):
-            rows.write.saveAsTable(table, format="parquet")
+            writer.saveAsTable(table, format="parquet")
         return self._spark.table(table)
 
     def __exit__(self, *_) -> None:
