@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .alignment import align_tokenizers
 from .decontaminate import contaminated, find_contamination, hit_words
+from .exact_dedup import exact_duplicates
+from .hard_negatives import hard_negatives
 from .katz import katz_scores
 from .line_dedup import line_dedup_report
 from .near_dup import near_duplicate_groups
@@ -94,6 +97,21 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(_documents(spark, sf_dir))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_documents(spark, sf_dir))[0]
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select("vec_id", label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_wu_manber_decontamination": op1_wu_manber_decontamination,
@@ -106,6 +124,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_min_max_near_dedup": op8_min_max_near_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_quality_cascade": op10_quality_cascade,
+        "op11_tokenizer_alignment": op11_tokenizer_alignment,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_golomb_exact_dedup": op13_golomb_exact_dedup,
     }
 
 
@@ -246,6 +267,33 @@ _QUALITY = f"""
 """
 
 
+_HARD_NEGATIVES = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS w
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
+                 cast(list_inner_product(a.w, c.w) AS BIGINT) AS score
+          FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, positive_id,
+           cast(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> anchor_label
+         AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3
+"""
+
+_EXACT_DUPLICATES = f"""
+    WITH n AS (SELECT doc_id, sha256(t) AS text_sha256, t
+               FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '{_BLANKS}+', ' ', 'g') AS t FROM documents)),
+    g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM n JOIN g USING (t)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_wu_manber_decontamination": _DECONTAMINATION,
@@ -254,4 +302,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_min_max_near_dedup": _NEAR_DUPLICATES,
         "op9_line_dedup": _LINE_DEDUP,
         "op10_quality_cascade": _QUALITY,
+        "op12_hard_negatives": _HARD_NEGATIVES,
+        "op13_golomb_exact_dedup": _EXACT_DUPLICATES,
     }

@@ -207,3 +207,76 @@ def katz(rows, factors):
         score = sum(math.log10(probability(h, x)) for h, x in zip(["\t", *w], w))
         out.append((d, held, len(w), sum(one[x] > 0 for x in w), base, score))
     return out, sums, n
+
+
+def exact_duplicates(rows):
+    """(doc_id, keep_id, group_size, sha256) of each row, and the number of rows that stay."""
+    normal = lambda t: re.sub(rf"{BLANK}+", " ", t or "")
+    groups = defaultdict(list)
+    for doc, text in rows:
+        groups[normal(text)].append(doc)
+    least = {t: min((d for d in docs if d is not None), default=None) for t, docs in groups.items()}
+    return [(d, least[normal(t)], len(groups[normal(t)]), sha(normal(t))) for d, t in rows], len(groups)
+
+
+def hard_negatives(rows, every=50, positives=5, negatives=3):
+    """Rows are (vec_id, label, vector)."""
+    fine = lambda v: v is not None and all(x is not None and math.isfinite(x) for x in v)
+    kept = [(i, label, [math.floor(256 * x) for x in v]) for i, label, v in rows if label is not None and fine(v)]
+    clamp = lambda x: max(-(2**62), min(2**62, x))
+    out = []
+    for at, (anchor, label, vector) in enumerate(kept):
+        if anchor is None or anchor % every:
+            continue
+        others = [(clamp(sum(x * y for x, y in zip(vector, v))), i, l) for n, (i, l, v) in enumerate(kept) if n != at]
+        others.sort(key=lambda r: (-r[0], r[1] is None, r[1]))
+        for score, positive, _ in [r for r in others if r[2] == label][:positives]:
+            hard = [r for r in others if r[2] != label and 50 * score <= 100 * r[0] <= 95 * score][:negatives]
+            out += [(anchor, positive, rank, r[1], score, r[0]) for rank, r in enumerate(hard, 1)]
+    return out
+
+
+def byte_of_letters():
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+def alignment(rows, merges, model):
+    """Rows of the alignment by a tokenizer with merges of bytes and a piece model, and the counts of id pairs."""
+    letters = byte_of_letters()
+    parts, counts = [], Counter()
+    for doc, text in rows:
+        a = merges.encode(" " + (text or ""), add_special_tokens=False).ids
+        b = model.encode(text or "")
+        in_a = [bytes(letters[ch] for ch in merges.id_to_token(i)) for i in a]
+        in_b = [
+            bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode()
+            for i in b
+        ]
+        if not text or not b"".join(in_a) == b"".join(in_b) == (" " + text).encode():
+            parts.append((doc, None))
+            continue
+        ends = [np.cumsum([len(x) for x in side]).tolist() for side in (in_a, in_b)]
+        groups = {end: ([], []) for end in sorted(set(ends[0]) & set(ends[1]))}
+        cuts, at = list(groups), np.array(list(groups))
+        for side, ids in enumerate((a, b)):
+            for place, token in zip(np.searchsorted(at, ends[side]).tolist(), ids):
+                groups[cuts[place]][side].append(token)
+        links = Counter((x, y) for own, other in groups.values() for x in own for y in other)
+        counts.update(links.keys())
+        parts.append((doc, (len(a), len(b), list(groups.values()), links)))
+    top = {}
+    for (x, _), n in counts.items():
+        top[x] = max(n, top.get(x, 0))
+    out = []
+    for doc, part in parts:
+        if part is None:
+            out.append((doc, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, groups, links = part
+        best = sum(n for (x, y), n in links.items() if counts[x, y] == top[x])
+        text = ";".join(",".join(map(str, own)) + "|" + ",".join(map(str, other)) for own, other in groups)
+        out.append(
+            (doc, n_a, n_b, len(groups), sum(links.values()), best, sum(n * counts[p] for p, n in links.items()), sha(text))
+        )
+    return out, counts

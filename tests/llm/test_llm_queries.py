@@ -14,14 +14,14 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def oracle():
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "pages", "labels"):
+    for table in ("documents", "benchmark", "pages", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     return connection
 
 
 def test_one_query_for_each_operator():
     names = sorted(queries.queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [re.match(r"op(\d+)_", n)[1] for n in names] == [str(n) for n in range(1, 11)]
+    assert [re.match(r"op(\d+)_", n)[1] for n in names] == [str(n) for n in range(1, 14)]
     assert {*names, "pipeline"} <= entry.queries().keys() and queries.oracle_sql().keys() <= set(names)
 
 
