@@ -8,6 +8,7 @@ price, the others come later, so that an upsert updates, inserts and keeps rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -37,7 +38,7 @@ from barlake.plans import (
     missing_months,
     not_landed,
 )
-from barlake.schema import BAR_COLUMNS, MONTH_COLUMN, RAW_COLUMNS, UNIT_COLUMNS
+from barlake.schema import BAR_COLUMNS, BUCKET_COLUMN, MONTH_COLUMN, RAW_COLUMNS, UNIT_COLUMNS
 from barlake.session import shared_dir
 from barlake.sources import (
     file_manifest,
@@ -113,6 +114,8 @@ _EPOCH = {
 _TICKS_PER_DAY = {"ms": 86_400_000, "us": 86_400_000_000}
 _MONTH = ("1997", "03")
 _SYMBOL = "SYM1"
+_BY_SYMBOL = ["symbol", "event_time"]
+_SYMBOL_BUCKETS = 4
 
 
 def _bars_sql(engine: str, unit: str, later_days: int = 0) -> str:
@@ -171,9 +174,9 @@ def _new_name(spark: SparkSession, kind: str) -> tuple[str, str]:
     return f"barlake_queries.{location.rpartition('/')[2].replace('-', '_')}", location
 
 
-def _new_table(spark: SparkSession, with_symbol: bool = False) -> str:
+def _new_table(spark: SparkSession, with_symbol: bool = False, symbol_buckets: int = 0) -> str:
     table, location = _new_name(spark, "bars")
-    create_bar_table(spark, table, location, with_symbol)
+    create_bar_table(spark, table, location, with_symbol, symbol_buckets)
     return table
 
 
@@ -189,8 +192,10 @@ def _landed(spark: SparkSession, sf_dir: str, unit: str, later_days: int = 0) ->
     return landing
 
 
-def _loaded(spark: SparkSession, sf_dir: str, unit: str = "us", with_symbol: bool = False) -> str:
-    table = _new_table(spark, with_symbol)
+def _loaded(
+    spark: SparkSession, sf_dir: str, unit: str = "us", with_symbol: bool = False, symbol_buckets: int = 0
+) -> str:
+    table = _new_table(spark, with_symbol, symbol_buckets)
     append_bars(spark, table, _bars(spark, sf_dir, unit))
     return table
 
@@ -362,6 +367,13 @@ def merge_by_symbol(spark, sf_dir):
     return _table_rows(spark, table, "symbol")
 
 
+def merge_in_buckets(spark, sf_dir):
+    """The same into a table whose months are parted by symbol."""
+    table = _loaded(spark, sf_dir, with_symbol=True, symbol_buckets=_SYMBOL_BUCKETS)
+    merge_into(spark, table, _bars(spark, sf_dir, later_days=_NEAR), _BY_SYMBOL)
+    return _table_rows(spark, table, "symbol", BUCKET_COLUMN)
+
+
 def merge_counts(spark, sf_dir):
     """Row counts of a merge, next to the table's row count after it."""
     table = _loaded(spark, sf_dir)
@@ -409,6 +421,20 @@ def load_month_query(spark, sf_dir):
     return _table_rows(spark, table)
 
 
+def load_month_in_buckets(spark, sf_dir):
+    """Per month and bucket: rows, and files that the load of one symbol and month has put there."""
+    table = _loaded(spark, sf_dir, with_symbol=True, symbol_buckets=_SYMBOL_BUCKETS)
+    file = F.col("_metadata.file_path").alias("file")
+    before = spark.createDataFrame([(f,) for f in spark.table(table).inputFiles()], "file string")
+    load_month(spark, _landed(spark, sf_dir, "us"), table, _SYMBOL, *_MONTH, _BY_SYMBOL, time_unit="us")
+    rows = spark.table(table).select(_text(MONTH_COLUMN), BUCKET_COLUMN, "symbol", file)
+    name = F.substring_index("file", "/", -1)
+    rows = rows.withColumn("name", name).join(before.select(name.alias("name"), F.lit(True).alias("old")), "name", "left")
+    return rows.groupBy(MONTH_COLUMN, BUCKET_COLUMN).agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or(F.col("old").isNull()).alias("rewritten")
+    )
+
+
 def _plan(spark: SparkSession, sf_dir: str, later_days: int = 0) -> DataFrame:
     raw = _raw(spark, sf_dir, "us", later_days)
     span = raw.agg(F.min("open_time_ms"), F.max("open_time_ms")).select(
@@ -571,12 +597,14 @@ def _bar_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_upsert": merge_upsert,
         "merge_idempotent": merge_idempotent,
         "merge_by_symbol": merge_by_symbol,
+        "merge_in_buckets": merge_in_buckets,
         "merge_counts": merge_counts,
         "merge_row_status": merge_row_status,
         "land_raw": land_raw_query,
         "land_skip_existing": land_skip_existing,
         "land_force": land_force,
         "load_month": load_month_query,
+        "load_month_in_buckets": load_month_in_buckets,
         "backfill_plan": backfill_plan_query,
         "units_to_land": units_to_land,
         "missing_months": missing_months_query,
@@ -644,6 +672,10 @@ def _bar_oracle_sql() -> dict[str, str]:
     )
     landed = f"SELECT {_RAW_LIST}, symbol, year, month FROM"
     same_unit = "a.symbol = b.symbol AND a.year = b.year AND a.month = b.month"
+    bucket = "CASE symbol " + " ".join(
+        f"WHEN 'SYM{i}' THEN {zlib.crc32(f'SYM{i}'.encode()) % _SYMBOL_BUCKETS}" for i in range(10)
+    ) + " END"
+    own_bucket = zlib.crc32(_SYMBOL.encode()) % _SYMBOL_BUCKETS
     status = """
         SELECT k.event_time, CASE WHEN r.event_time IS NULL THEN 'kept' ELSE 'updated' END AS status
         FROM k LEFT JOIN r ON k.event_time = r.event_time
@@ -682,6 +714,7 @@ def _bar_oracle_sql() -> dict[str, str]:
         "merge_upsert": us + _merged(["event_time"]),
         "merge_idempotent": us + _merged(["event_time"]),
         "merge_by_symbol": us + _merged(by_symbol, extra=", symbol"),
+        "merge_in_buckets": f"{us} SELECT *, {bucket} AS symbol_bucket FROM ({_merged(by_symbol, extra=', symbol')})",
         "merge_counts": f"{us}, s AS ({status}) SELECT count(*) AS table_rows, (SELECT count(*) FROM r) AS source, "
         "count(*) FILTER (status = 'updated') AS updated, count(*) FILTER (status = 'inserted') AS inserted, "
         "cast(0 AS bigint) AS rejected FROM s",
@@ -692,6 +725,8 @@ def _bar_oracle_sql() -> dict[str, str]:
         "land_force": f"{ms_far} {landed} r UNION ALL {landed} k a "
         f"WHERE NOT EXISTS (SELECT 1 FROM r b WHERE {same_unit})",
         "load_month": f"{us}, u AS (SELECT * FROM r WHERE {one_unit}) " + _merged(["event_time"], "u"),
+        "load_month_in_buckets": f"{us} SELECT event_month, {bucket} AS symbol_bucket, count(*) AS n, "
+        f"event_month = '{year}-{month}-01' AND {bucket} = {own_bucket} AS rewritten FROM k GROUP BY ALL",
         "backfill_plan": f"{us_far}, {plan} SELECT symbol, year, month FROM p",
         "units_to_land": f"{us_far}, {plan} SELECT symbol, year, month FROM p a "
         f"WHERE NOT EXISTS (SELECT 1 FROM k b WHERE {same_unit})",

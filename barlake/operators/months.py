@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.calendar import utc_literal
-from barlake.operators.table import current, table_location
-from barlake.schema import MONTH_COLUMN
-from barlake.sources.manifest import partition_value
+from barlake.operators.partitions import listed_partitions, loaded_partitions
+from barlake.operators.table import bucket_of, current, symbol_buckets
+from barlake.schema import BUCKET_COLUMN, MONTH_COLUMN
 
 
 def _first_day(year: int | str, month: int | str) -> dt.date:
@@ -21,11 +20,14 @@ def _day_after_month(first: dt.date) -> dt.date:
     return (first + dt.timedelta(days=31)).replace(day=1)
 
 
-def month_range(bars: DataFrame, year: int | str, month: int | str, symbol: str | None = None) -> DataFrame:
+def month_range(
+    bars: DataFrame, year: int | str, month: int | str, symbol: str | None = None, buckets: int = 0
+) -> DataFrame:
     """Rows with ``event_time`` in one month.
 
     Catalyst does not derive the partition from the time, so the partition
-    predicate, which prunes, is added to the half-open time range.
+    predicate, which prunes, is added to the half-open time range. ``buckets`` of the table, if it has any, let
+    the symbol prune as well.
     """
     first = _first_day(year, month)
     time = F.col("event_time")
@@ -34,7 +36,12 @@ def month_range(bars: DataFrame, year: int | str, month: int | str, symbol: str
         & (time >= utc_literal(first))
         & (time < utc_literal(_day_after_month(first)))
     )
-    return rows if symbol is None else rows.filter(F.col("symbol") == symbol)
+    if symbol is None:
+        return rows
+    if buckets:
+        (number,) = bars.sparkSession.range(1).select(bucket_of(F.lit(symbol), buckets)).first()
+        rows = rows.filter(F.col(BUCKET_COLUMN) == number)
+    return rows.filter(F.col("symbol") == symbol)
 
 
 def month_exists(
@@ -46,43 +53,24 @@ def month_exists(
     count over a limit, or ``isEmpty``, would start one for every file. Only if there is none, the folder is
     asked as well: the month may be on disk and not in the catalog.
     """
+    buckets = symbol_buckets(spark, table) if symbol is not None else 0
     holds_row = lambda: bool(
-        month_range(current(spark, table), year, month, symbol).select(F.lit(1)).take(1)
+        month_range(current(spark, table), year, month, symbol, buckets).select(F.lit(1)).take(1)
     )
     return holds_row() or (not months_not_loaded(spark, table, [_first_day(year, month)]) and holds_row())
 
 
 def loaded_months(spark: SparkSession, table: str) -> DataFrame:
     """Months of the catalog that hold rows, by the files in their folders; no file is opened."""
-    listed = spark.sql(f"SHOW PARTITIONS {table}").select(partition_value(MONTH_COLUMN).try_cast("date")).na.drop()
-    months = [row[0] for row in listed.distinct().collect()]
-    absent = set(months_not_loaded(spark, table, months))
-    return spark.createDataFrame([(m,) for m in months if m not in absent], f"{MONTH_COLUMN} date")
+    listed = sorted({p[0] for p in listed_partitions(spark, table) if p[0] is not None})
+    held = {p[0] for p in loaded_partitions(spark, table, listed)}
+    return spark.createDataFrame([(m,) for m in listed if m in held], f"{MONTH_COLUMN} date")
 
 
 def months_not_loaded(spark: SparkSession, table: str, months: list[dt.date]) -> list[dt.date]:
-    """Those of ``months`` without rows. Status, plan, append and merge all ask here.
-
-    A month is loaded if its folder has a file with content. The catalog alone is no proof: a
-    driver lost during a write can leave a month listed whose files are gone, or files in a month
-    that is not listed. Months of the second kind are registered, as nothing would read them otherwise.
-    """
-    if not months:
-        return []
-    # The marker of earlier writes is there in any case, so the pattern finds something.
-    folders = ",".join(["_SUCCESS", *(f"{MONTH_COLUMN}={m}" for m in sorted(set(months)))])
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    try:
-        found = files.load(f"{table_location(spark, table)}/{{{folders}}}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return list(months)
-    month = F.regexp_extract("path", f"/{MONTH_COLUMN}=([^/]+)/", 1).try_cast("date").alias(MONTH_COLUMN)
-    on_disk = {row[0] for row in found.filter("length > 0").select(month).na.drop().distinct().collect()}
-    for found_month in sorted(on_disk):
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({MONTH_COLUMN} = DATE'{found_month}')")
-    return [m for m in months if m not in on_disk]
+    """Those of ``months`` without rows: no partition of the month has a file, see ``loaded_partitions``."""
+    held = {p[0] for p in loaded_partitions(spark, table, months)}
+    return [m for m in months if m not in held]
 
 
 def loaded_units(spark: SparkSession, table: str, first: dt.date, last: dt.date) -> DataFrame:

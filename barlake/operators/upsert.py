@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from barlake.operators.months import months_not_loaded
-from barlake.operators.table import clustered, current, with_month
-from barlake.schema import MONTH_COLUMN
-from barlake.session import Stage, parquet_timestamps, shared_dir
+from barlake.operators.partitions import Version, in_partitions, loaded_partitions, partition_columns
+from barlake.operators.table import clustered, current, symbol_buckets, with_partitions
+from barlake.schema import BUCKET_COLUMN, MONTH_COLUMN
+from barlake.session import Stage, shared_dir
 
 DEFAULT_KEYS = ("event_time",)
 
 _ACTION = "merge_action"
 _ROWS = "source_rows"
+_LEFT_OUT = "left out"
+_ALONE = "merge_alone"
+_IS_SOURCE = "merge_is_source"
 
 
 @dataclass(frozen=True)
@@ -92,6 +94,38 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str] = DEFAULT_KE
     return merge_actions(target, source, keys).drop(_ACTION)
 
 
+def merge_by_grouping(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The upsert in one shuffle: rows with their action, and the keys that repeat, which have a row ``left out`` there.
+
+    Target and source are put on one pile and grouped by key. Where a key has at most one row of each, as
+    keys of bars do, the group tells what becomes of it. Repeated keys shrink to one row in the map tasks, so a hot one
+    reaches no task whole; their rows are for ``merge_actions``. A row with a NULL in its key matches nothing and is a group of its own.
+    """
+    columns = target.columns
+    values = [c for c in columns if c not in keys]
+    nothing = _any_null(keys)
+
+    def tagged(rows: DataFrame, own: Column, is_source: bool) -> DataFrame:
+        return rows.select(*columns, F.when(nothing, own).alias(_ALONE), F.lit(is_source).alias(_IS_SOURCE))
+
+    number = F.monotonically_increasing_id()
+    pile = tagged(target, number, False).unionByName(tagged(source, -1 - number, True))
+    of_source, of_target = F.col(_IS_SOURCE), ~F.col(_IS_SOURCE)
+    groups = pile.groupBy(*keys, _ALONE).agg(
+        F.count_if(of_target).alias("n_target"),
+        F.count_if(of_source).alias(_ROWS),
+        *(F.any_value(F.when(of_target, F.col(c)), True).alias(f"old_{c}") for c in values),
+        *(F.any_value(F.when(of_source, F.col(c)), True).alias(f"new_{c}") for c in values),
+    )
+    single, new = (F.col("n_target") <= 1) & (F.col(_ROWS) <= 1), F.col(_ROWS) == 1
+    rows = groups.select(
+        *(c if c in keys else F.when(new, F.col(f"new_{c}")).otherwise(F.col(f"old_{c}")).alias(c) for c in columns),
+        F.when(~single, _LEFT_OUT).when(F.col("n_target") == 0, "inserted").when(new, "updated").otherwise("kept").alias(_ACTION),
+    )
+    counts = pile.groupBy(*keys, _ALONE).agg(F.count_if(of_target).alias("n_target"), F.count_if(of_source).alias(_ROWS))
+    return rows, counts.filter(~single).select(*keys)
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
 
@@ -101,8 +135,10 @@ def _out_of_range() -> Column:
     return F.coalesce(~F.year("event_time").between(1, 9999), F.lit(False))
 
 
-def _months_in(staged: DataFrame, bad: Column, keys: Sequence[str], unit: str | None) -> list:
-    """One row per month of the source: rows, rows to keep out, and whether units may clash.
+def _partitions_in(
+    staged: DataFrame, parts: Sequence[str], bad: Column, keys: Sequence[str], unit: str | None
+) -> list:
+    """One row per partition of the source: rows, rows to keep out, and whether units may clash.
 
     Units that share no key cannot clash. With the symbol in the key, only a row
     outside the month of its unit can meet a row of another unit.
@@ -110,13 +146,13 @@ def _months_in(staged: DataFrame, bad: Column, keys: Sequence[str], unit: str |
     rows = [F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")]
     totals = [F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected")]
     if unit is None:
-        per_unit, clash = staged.groupBy(MONTH_COLUMN).agg(*rows), F.lit(False)
+        per_unit, clash = staged.groupBy(*parts).agg(*rows), F.lit(False)
     else:
-        per_unit = staged.groupBy(MONTH_COLUMN, unit).agg(*rows)
+        per_unit = staged.groupBy(*parts, unit).agg(*rows)
         clash = F.count(F.lit(1)) > 1
         if "symbol" in keys:
             clash = F.bool_or(F.substring(unit, 1, 7) != F.date_format(MONTH_COLUMN, "yyyy-MM"))
-    return per_unit.groupBy(MONTH_COLUMN).agg(*totals, F.coalesce(clash, F.lit(False)).alias("clash")).collect()
+    return per_unit.groupBy(*parts).agg(*totals, F.coalesce(clash, F.lit(False)).alias("clash")).collect()
 
 
 def _one_unit_after_another(stage: Stage, source: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
@@ -149,12 +185,6 @@ def _one_unit_after_another(stage: Stage, source: DataFrame, keys: Sequence[str]
     )
 
 
-def _in_months(months: list[dt.date | None]) -> Column:
-    """Literal month predicate, which prunes partitions where a join would not."""
-    known = F.col(MONTH_COLUMN).isin([m for m in months if m is not None])
-    return known | F.col(MONTH_COLUMN).isNull() if None in months else known
-
-
 def merge_into(
     spark: SparkSession,
     table: str,
@@ -163,17 +193,20 @@ def merge_into(
     unit: str | None = None,
     null_keys: str = "reject",
 ) -> MergeResult:
-    """Upsert ``source`` into ``table``, rewriting only the months it has rows for.
+    """Upsert ``source`` into ``table``, rewriting only the partitions it has rows for.
 
-    A row goes to the month of its own time; rows of years beyond 1 to 9999 are kept out as well. Months the table does not hold yet
+    A row goes to the month of its own time; rows of years beyond 1 to 9999 are kept out as well. Partitions the table does not hold yet
     are written without any join. Rows without a key are kept out and returned
     in ``rejects``; with ``null_keys="insert"`` they are inserted, again on every
     call, as equality makes them. ``unit`` names a column that orders units
     loaded together, see ``_one_unit_after_another``.
 
-    Months are swapped one by one at the end of the write and the table has no
-    snapshots: one writer at a time, and a reader may see some months before others.
+    New rows are written beside the old ones and swapped in partition by partition: if the driver is lost, each
+    partition has its old or its new rows. The table has no snapshots: one writer at a time, and a reader may
+    see some months before others. A table with symbol buckets needs the symbol among the keys.
     """
+    if "symbol" not in keys and BUCKET_COLUMN in spark.table(table).columns:
+        raise ValueError("keys of a table with symbol buckets must include the symbol")
     if null_keys not in ("reject", "insert"):
         raise ValueError(f"unknown null_keys: {null_keys}")
     with Stage(spark) as stage:
@@ -186,6 +219,16 @@ def _keep(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def _write(version: Version, result: DataFrame, columns: Sequence[str], parts: Sequence[str]) -> list[int]:
+    """Rows updated and inserted, and keys left out. Counted behind the last shuffle: tasks that are run again after a loss count once there."""
+    counted = Observation()
+    actions = "updated", "inserted", _LEFT_OUT
+    rows = clustered(result, *parts).observe(counted, *(F.count_if(F.col(_ACTION) == a).alias(a) for a in actions))
+    rows = rows.filter(F.col(_ACTION) != _LEFT_OUT)
+    version.write(rows.select(*columns).sortWithinPartitions(*parts, "event_time"))
+    return [counted.get[a] for a in actions]
+
+
 def _merge_staged(
     spark: SparkSession,
     stage: Stage,
@@ -195,12 +238,12 @@ def _merge_staged(
     unit: str | None,
     reject_null_keys: bool,
 ) -> MergeResult:
-    columns = spark.table(table).columns
+    columns, parts = spark.table(table).columns, partition_columns(spark, table)
     month = F.when(~_out_of_range(), F.col(MONTH_COLUMN)).alias(MONTH_COLUMN)
-    staged = with_month(source).select(*columns, *([unit] if unit else []))
+    staged = with_partitions(source, symbol_buckets(spark, table)).select(*columns, *([unit] if unit else []))
     usable = stage.store(staged.select(*(month if c == MONTH_COLUMN else c for c in staged.columns)))
     bad = _out_of_range() | _any_null(keys) if reject_null_keys else _out_of_range()
-    summary = _months_in(usable, bad, keys, unit)
+    summary = _partitions_in(usable, parts, bad, keys, unit)
     rows, rejected = sum(m["rows"] for m in summary), sum(m["rejected"] for m in summary)
     rejects = _keep(spark, usable.filter(bad)) if rejected else spark.createDataFrame([], usable.schema)
     usable = usable.filter(~bad)
@@ -208,34 +251,33 @@ def _merge_staged(
     if not summary:
         return MergeResult(rows, 0, 0, rejected, rejects)
 
-    months = [m[MONTH_COLUMN] for m in summary]
-    clashing = [m[MONTH_COLUMN] for m in summary if m["clash"]]
+    partition = lambda m: tuple(m[c] for c in parts)
+    touched = [partition(m) for m in summary]
+    clashing = [partition(m) for m in summary if m["clash"]]
     if clashing:
-        mixed = _one_unit_after_another(stage, usable.filter(_in_months(clashing)), keys, unit)
-        plain = [m for m in months if m not in clashing]
-        usable = mixed.unionByName(usable.filter(_in_months(plain))) if plain else mixed
+        mixed = _one_unit_after_another(stage, usable.filter(in_partitions(clashing, parts)), keys, unit)
+        plain = [p for p in touched if p not in clashing]
+        usable = mixed.unionByName(usable.filter(in_partitions(plain, parts))) if plain else mixed
     usable = usable.select(*columns)
 
-    new = months_not_loaded(spark, table, [m for m in months if m is not None])
-    held = [m for m in months if m not in new]
-    parts = []
+    folders = loaded_partitions(spark, table, [p[0] for p in touched])
+    old = {p: folders[p] for p in touched if p in folders}
+    new = [p for p in touched if p not in old]
+    results = []
     if new:
-        parts.append(usable.filter(_in_months(new)).withColumn(_ACTION, F.lit("inserted")))
-    if held:
-        target, incoming = current(spark, table).filter(_in_months(held)), usable.filter(_in_months(held))
-        # As above: with the source's keys known to be single, or grouped and
-        # stored, a hot target key can be split.
-        repeats = not incoming.groupBy(*keys).count().filter("count > 1").isEmpty()
-        by_key = stage.store(_by_key(incoming, keys)) if repeats else _already_by_key(incoming, keys)
-        parts.append(_apply(target, incoming, by_key, keys))
-
-    # Counted behind the last shuffle: tasks that are run again after a loss are
-    # counted once there.
-    counted = Observation()
-    result = clustered(reduce(DataFrame.unionByName, parts), MONTH_COLUMN).observe(
-        counted, *(F.count_if(F.col(_ACTION) == a).alias(a) for a in ("updated", "inserted"))
-    )
-    ordered = result.select(*columns).sortWithinPartitions(MONTH_COLUMN, "event_time")
-    with parquet_timestamps(spark):
-        ordered.write.mode("overwrite").insertInto(table)
-    return MergeResult(rows, counted.get["updated"], counted.get["inserted"], rejected, rejects)
+        results.append(usable.filter(in_partitions(new, parts)).withColumn(_ACTION, F.lit("inserted")))
+    if old:
+        held = in_partitions(old, parts)
+        target, incoming = current(spark, table).filter(held), usable.filter(held)
+        grouped, repeated_keys = merge_by_grouping(target, incoming, keys)
+        results.append(grouped)
+    with Version(spark, table) as version:
+        updated, inserted, repeated = _write(version, reduce(DataFrame.unionByName, results), columns, parts)
+        if repeated:
+            left_out = stage.store(repeated_keys)
+            target, incoming = (x.join(left_out, list(keys), "left_semi") for x in (target, incoming))
+            # Stored and grouped, so that a hot target key can be split in the join.
+            more = _write(version, _apply(target, incoming, stage.store(_by_key(incoming, keys)), keys), columns, parts)
+            updated, inserted = updated + more[0], inserted + more[1]
+        version.swap(old)
+    return MergeResult(rows, updated, inserted, rejected, rejects)

@@ -32,3 +32,6 @@ UNIT_COLUMNS = ["symbol", "year", "month"]
 UNIT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in UNIT_COLUMNS])
 
 MONTH_COLUMN = "event_month"
+
+# Of tables that part the symbols of a month.
+BUCKET_COLUMN = "symbol_bucket"
