@@ -428,7 +428,7 @@ def load_month_in_buckets(spark, sf_dir):
     before = spark.createDataFrame([(f,) for f in spark.table(table).inputFiles()], "file string")
     load_month(spark, _landed(spark, sf_dir, "us"), table, _SYMBOL, *_MONTH, _BY_SYMBOL, time_unit="us")
     rows = spark.table(table).select(_text(MONTH_COLUMN), BUCKET_COLUMN, "symbol", file)
-    name = F.substring_index("file", "/", -1)
+    name = F.substring_index("file", "/", -3)
     rows = rows.withColumn("name", name).join(before.select(name.alias("name"), F.lit(True).alias("old")), "name", "left")
     return rows.groupBy(MONTH_COLUMN, BUCKET_COLUMN).agg(
         F.count(F.lit(1)).alias("n"), F.bool_or(F.col("old").isNull()).alias("rewritten")
