@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from itertools import islice
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from barlake.folders import matching
 from barlake.operators.table import clustered, current, ensure_table, table_location
 from barlake.schema import RAW_COLUMNS, RAW_SCHEMA, UNIT_COLUMNS
 from barlake.sources.archives import archive_manifest, read_archives, unzip_lines
@@ -75,16 +76,21 @@ def land_archives(
     _register(spark, landing, wanted)
 
 
-def _chunks(units: DataFrame) -> Iterator[list]:
-    rows = units.select(*UNIT_COLUMNS).na.drop().distinct().toLocalIterator()
+def _chunks(units: DataFrame) -> Iterator[list[tuple[str, ...]]]:
+    rows = map(tuple, units.select(*UNIT_COLUMNS).na.drop().distinct().toLocalIterator())
     while chunk := list(islice(rows, _UNITS_PER_STATEMENT)):
         yield chunk
 
 
+def _add(spark: SparkSession, landing: str, units: list[tuple[str, ...]]) -> None:
+    if units:
+        spark.sql(f"ALTER TABLE {landing} ADD IF NOT EXISTS " + " ".join(map(partition_spec, units)))
+
+
 def _register(spark: SparkSession, landing: str, units: DataFrame) -> None:
     """Tell the catalog about units written by path: these and no others, whatever their number."""
     for rows in _chunks(units):
-        spark.sql(f"ALTER TABLE {landing} ADD IF NOT EXISTS " + " ".join(partition_spec(row) for row in rows))
+        _add(spark, landing, rows)
     spark.catalog.refreshTable(landing)
 
 
@@ -92,26 +98,29 @@ def _register_found(spark: SparkSession, landing: str, units: DataFrame) -> None
     """Register those of ``units`` that have files but are not in the catalog.
 
     A driver lost between the write and the catalog leaves such units, and so does another session.
-    Taken for new they would be overwritten.
+    Taken for new they would be overwritten. The store lists each symbol's and each year's folder once.
     """
-    absent = units.select(*UNIT_COLUMNS).distinct()
-    absent = missing_from(absent, landed_units(spark, landing))
+    absent = missing_from(units.select(*UNIT_COLUMNS).distinct(), landed_units(spark, landing))
     location = table_location(spark, landing)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     for rows in _chunks(absent):
-        folders = ",".join("/".join(f"{c}={_escaped(row[c])}" for c in UNIT_COLUMNS) for row in rows)
-        try:
-            # The marker of earlier writes keeps the pattern from finding nothing.
-            found = files.load(f"{location}/{{_SUCCESS,{folders}}}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        values = [F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in UNIT_COLUMNS]
-        _register(spark, landing, found.filter("length > 0").select(*values).filter("symbol <> ''"))
+        wanted = set(rows)
+        values = [sorted({_escaped(row[i]) for row in rows}) for i in range(len(UNIT_COLUMNS))]
+        pattern = "/".join(f"{c}={{{','.join(v)}}}" for c, v in zip(UNIT_COLUMNS, values))
+        there = {_unit_of(folder): folder for folder in matching(spark, f"{location}/{pattern}")}
+        _add(spark, landing, [u for u in wanted & there.keys() if matching(spark, f"{_literal(there[u])}/[!._]*")])
+    spark.catalog.refreshTable(landing)
+
+
+def _unit_of(folder: str) -> tuple[str, ...]:
+    return tuple(unquote(part.partition("=")[2]) for part in folder.split("/")[-len(UNIT_COLUMNS) :])
+
+
+def _literal(path: str) -> str:
+    """A path as a pattern that matches it alone."""
+    return "".join(f"\\{ch}" if ch in "{},*?[]\\" else ch for ch in path)
 
 
 def _escaped(value: str) -> str:
     """A partition value as its folder spells it, safe in a path pattern."""
-    spelled = "".join(f"%{ord(ch):02X}" if ch in "\"#%'*/:=?\\{[]^" or ord(ch) < 32 or ord(ch) == 127 else ch for ch in value)
-    return "".join(f"\\{ch}" if ch in "{},*?[]\\" else ch for ch in spelled)
+    special = "\"#%'*/:=?\\{[]^"
+    return _literal("".join(f"%{ord(ch):02X}" if ch in special or ord(ch) < 32 or ord(ch) == 127 else ch for ch in value))
