@@ -104,10 +104,10 @@ def _register_found(spark: SparkSession, landing: str, units: DataFrame) -> None
     location = table_location(spark, landing)
     for rows in _chunks(absent):
         wanted = set(rows)
-        values = [sorted({_escaped(row[i]) for row in rows}) for i in range(len(UNIT_COLUMNS))]
+        values = [sorted({escaped(row[i]) for row in rows}) for i in range(len(UNIT_COLUMNS))]
         pattern = "/".join(f"{c}={{{','.join(v)}}}" for c, v in zip(UNIT_COLUMNS, values))
         there = {_unit_of(folder): folder for folder in matching(spark, f"{location}/{pattern}")}
-        _add(spark, landing, [u for u in wanted & there.keys() if matching(spark, f"{_literal(there[u])}/[!._]*")])
+        _add(spark, landing, [u for u in wanted & there.keys() if matching(spark, f"{as_pattern(there[u])}/[!._]*")])
     spark.catalog.refreshTable(landing)
 
 
@@ -115,12 +115,12 @@ def _unit_of(folder: str) -> tuple[str, ...]:
     return tuple(unquote(part.partition("=")[2]) for part in folder.split("/")[-len(UNIT_COLUMNS) :])
 
 
-def _literal(path: str) -> str:
+def as_pattern(path: str) -> str:
     """A path as a pattern that matches it alone."""
     return "".join(f"\\{ch}" if ch in "{},*?[]\\" else ch for ch in path)
 
 
-def _escaped(value: str) -> str:
+def escaped(value: str) -> str:
     """A partition value as its folder spells it, safe in a path pattern."""
     special = "\"#%'*/:=?\\{[]^"
-    return _literal("".join(f"%{ord(ch):02X}" if ch in special or ord(ch) < 32 or ord(ch) == 127 else ch for ch in value))
+    return as_pattern("".join(f"%{ord(ch):02X}" if ch in special or ord(ch) < 32 or ord(ch) == 127 else ch for ch in value))

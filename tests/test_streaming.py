@@ -49,3 +49,53 @@ def test_the_last_unit_stays_however_files_are_dealt(spark, make_landing, make_t
         spark, table_location(spark, landing), table, str(tmp_path / "checkpoint"), keys, max_files=max_files
     ).awaitTermination()
     assert [c for _, c in bars(spark.table(table))] == [2.0]
+
+
+KEYS = ["symbol", "event_time"]
+
+
+def _ledger(checkpoint):
+    return [p for p in (checkpoint / "unit_ledger").rglob("*.parquet")]
+
+
+def _land(spark, landing, *rows):
+    """Units one after another, as (month of the unit, time, close) of symbol A."""
+    for month, stamp, close in rows:
+        land_raw(spark, landing, raw_frame(spark, [("A", "2023", month, stamp, close)]), force=True)
+        time.sleep(1.1)  # files are read by the time they were written
+
+
+def test_a_clean_landing_leaves_no_state(spark, make_landing, make_table, tmp_path):
+    landing, table, checkpoint = make_landing(), make_table(with_symbol=True), tmp_path / "checkpoint"
+    _land(spark, landing, *((m, f"2023-{m}-05 00:00", float(m)) for m in ("01", "02", "03")))
+    pick_up_landed(spark, table_location(spark, landing), table, str(checkpoint), KEYS, max_files=1).awaitTermination()
+    assert [c for _, c in bars(spark.table(table))] == [1.0, 2.0, 3.0] and not _ledger(checkpoint)
+
+
+@pytest.mark.parametrize("max_files", [1, 10_000])
+@pytest.mark.parametrize("order", [("01", "02", "03"), ("03", "02", "01"), ("02", "03", "01"), ("02", "01", "03")])
+def test_the_last_unit_of_a_shared_key_stays(spark, make_landing, make_table, tmp_path, order, max_files):
+    """All three units hold a bar of February; runs follow each other, with and without batches in between."""
+    landing, table, checkpoint = make_landing(), make_table(with_symbol=True), tmp_path / "checkpoint"
+    run = lambda: pick_up_landed(
+        spark, table_location(spark, landing), table, str(checkpoint), KEYS, max_files=max_files
+    ).awaitTermination()
+    _land(spark, landing, *((m, "2023-02-01 00:00", float(m)) for m in order[:2]))
+    run()
+    assert [c for _, c in bars(spark.table(table))] == [float(max(order[:2]))]
+    _land(spark, landing, (order[2], "2023-02-01 00:00", float(order[2])))
+    run()
+    assert [c for _, c in bars(spark.table(table))] == [3.0] and _ledger(checkpoint)
+
+
+def test_the_ledger_is_merged_in_levels(spark, make_landing, make_table, tmp_path, monkeypatch):
+    from barlake.streaming import pickup
+
+    monkeypatch.setattr(pickup, "_FAN_IN", 2)
+    landing, table, checkpoint = make_landing(), make_table(with_symbol=True), tmp_path / "checkpoint"
+    months = [f"{m:02d}" for m in range(7, 0, -1)]
+    _land(spark, landing, *((m, "2023-08-01 00:00", float(m)) for m in months))
+    pick_up_landed(spark, table_location(spark, landing), table, str(checkpoint), KEYS, max_files=1).awaitTermination()
+    assert [c for _, c in bars(spark.table(table))] == [7.0]
+    folders = {p.parent.parent.name + "/" + p.parent.parent.parent.name for p in _ledger(checkpoint)}
+    assert len(folders) <= 4 and any(not f.endswith("level=0") for f in folders)
