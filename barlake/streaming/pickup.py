@@ -38,6 +38,7 @@ class _Ledger:
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], number: int):
         self._spark, self._path, self._keys, self._number = spark, path, list(keys), number
+        self._schema: T.StructType | None = None
 
     def _folders(self) -> dict[int, list[tuple[int, str]]]:
         """By level: batches before this one. A batch that is run again does not read what it wrote."""
@@ -65,11 +66,17 @@ class _Ledger:
         return kept.groupBy(*self._keys).agg(F.max(_UNIT_LABEL).alias("latest"))
 
     def add(self, entries: DataFrame) -> None:
+        self._schema = entries.schema
         self._write(entries, 0, self._number)
+
+    def merge_levels(self) -> None:
+        """To be called when nothing reads the ledger any more."""
+        if self._schema is None:
+            return
         for level, folders in sorted(self._folders().items()):
             if len(folders) >= _FAN_IN:
                 paths = [folder for _, folder in folders]
-                self._write(self._read(paths, entries.schema), level + 1, max(folders)[0])
+                self._write(self._read(paths, self._schema), level + 1, max(folders)[0])
                 for path in paths:
                     remove(self._spark, path)
 
@@ -168,6 +175,7 @@ def pick_up_landed(
             ledger = _Ledger(spark, f"{checkpoint.rstrip('/')}/unit_ledger", keys, number)
             due = _due(spark, stage, ledger, batch, keys, landed)
             done = merge_into(spark, table, due, keys, unit=_UNIT_LABEL)
+            ledger.merge_levels()
         if report is not None:
             report(number, done)
 
