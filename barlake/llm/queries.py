@@ -18,7 +18,7 @@ from .quality import quality_report
 from .sharding import shard_documents
 from .substring_dedup import remove_repeated_passages
 from .token_counts import token_counts
-from .url_filter import RULES, judge_pages
+from .url_filter import DOUBLE_SUFFIXES, RULES, judge_pages, links_by_number
 
 SHARDS = 40
 
@@ -70,12 +70,13 @@ def op5_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels carry the number of the page they judge as doc_id."""
+    """Labels judge documents; a page is made of the document whose number stands in its url."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    judged = judge_pages(pages, labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")))
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    judged = judge_pages(pages, labels.select("doc_id", bad.alias("bad")), links=links_by_number(pages))
+    rounded = [F.round(c, 6).alias(c) for c in ("bad_rate", "lower_bound")]
+    return judged.select("page_id", "host", "path", "rule", "verdict", *rounded)
 
 
 def op7_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,25 +189,31 @@ def _shrunk(prior: str, level: str, table: str) -> str:
 
 _RULES_FIT = ", ".join(f"('{rule}', '{verdict}', '{rule.split('/', 1)[0]}', '/{rule.split('/', 1)[1]}')" for rule, verdict in RULES)
 
+_DOUBLE = ", ".join(f"'{suffix}'" for suffix in DOUBLE_SUFFIXES)
+
 _REPUTATION = f"""
     WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
     u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
                  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
-    b AS (SELECT doc_id AS page_id, max(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY doc_id),
-    h AS (SELECT host, cast(count(bad) AS double) AS n, cast(coalesce(sum(bad::int), 0) AS double) AS k,
-                 array_to_string(list_reverse(list_reverse(string_split(host, '.'))[1:2]), '.') AS domain,
-                 string_split(host, '.')[-1] AS suffix FROM u LEFT JOIN b USING (page_id) GROUP BY host),
+    i AS (SELECT DISTINCT page_id, try_cast(nullif(regexp_extract(path, '^.*/([0-9]+)(?:[./]|$)', 1), '') AS bigint) AS doc_id FROM u),
+    b AS (SELECT page_id, max(quality = 0 OR toxic = 1) AS bad FROM i JOIN labels USING (doc_id) GROUP BY page_id),
+    c AS (SELECT host, cast(count(bad) AS double) AS n, cast(coalesce(sum(bad::int), 0) AS double) AS k,
+                 list_reverse(string_split(regexp_replace(host, ':[0-9]*$', ''), '.')) AS labels,
+                 array_to_string(list_reverse(labels[1:2]), '.') IN ({_DOUBLE}) AS doubled FROM u LEFT JOIN b USING (page_id) GROUP BY host),
+    h AS (SELECT host, n, k, array_to_string(list_reverse(labels[1:CASE WHEN doubled THEN 3 ELSE 2 END]), '.') AS domain,
+                 array_to_string(list_reverse(labels[1:CASE WHEN doubled THEN 2 ELSE 1 END]), '.') AS suffix FROM c),
     d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY domain, suffix),
     s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY suffix),
     sr AS (SELECT suffix, {_shrunk("(SELECT (sum(k) + 1) / (sum(n) + 2) FROM s)", "s", "s")} AS rate FROM s),
-    dr AS (SELECT domain, {_shrunk("sr.rate", "d", "d")} AS rate FROM d JOIN sr USING (suffix)),
-    hr AS (SELECT host, n, {_shrunk("dr.rate", "h", "h")} AS rate FROM h JOIN dr USING (domain)),
-    v AS (SELECT host, CASE WHEN rate - 1.645 * sqrt(rate * (1 - rate) / ({_prior_size("h")} + n + 1)) > 0.5
-                            THEN 'block' ELSE 'allow' END AS learned FROM hr),
+    dr AS (SELECT domain, sr.rate AS suffix_rate, {_shrunk("sr.rate", "d", "d")} AS rate FROM d JOIN sr USING (suffix)),
+    hr AS (SELECT host, n, suffix_rate, {_shrunk("dr.rate", "h", "h")} AS rate FROM h JOIN dr USING (domain)),
+    lb AS (SELECT *, rate - sqrt(rate * (1 - rate) / ({_prior_size("h")} + n + 1)) AS bound FROM hr),
+    v AS (SELECT host, rate, bound, CASE WHEN bound > suffix_rate THEN 'block' ELSE 'allow' END AS learned FROM lb),
     f AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
           FROM (SELECT DISTINCT host, path FROM u), (VALUES {_RULES_FIT}) t(rule, verdict, under, opening)
           WHERE (host = under OR ends_with(host, '.' || under)) AND starts_with(path, opening) GROUP BY host, path)
-    SELECT page_id, u.host, u.path, f.rule, coalesce(f.verdict, v.learned) AS verdict
+    SELECT page_id, u.host, u.path, f.rule, coalesce(f.verdict, v.learned) AS verdict,
+           round(rate, 6) AS bad_rate, round(bound, 6) AS lower_bound
     FROM u JOIN v ON v.host = u.host LEFT JOIN f ON f.host = u.host AND f.path = u.path
 """
 

@@ -3,7 +3,7 @@
 Labelled pages give each host a number of bad outcomes. Rates shrink through three beta-binomial levels:
 a suffix towards the rate of all pages, a registered domain towards its suffix, a host towards its
 domain. How strongly is estimated from the spread between the members of each level. A host is
-blocked if even the lower bound of its posterior bad rate is too high.
+blocked if even the lower bound of its posterior bad rate is above the rate of its suffix.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .storage import stored
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: The rules of the contract as (rule, verdict).
@@ -24,6 +26,12 @@ RULES = (
 )
 MAX_RULES = 1000
 
+#: Suffixes of two labels under which names are registered, of the larger countries that have such; pass a fuller list where it matters.
+DOUBLE_SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.in",
+    "co.jp", "ne.jp", "or.jp", "co.kr", "com.br", "com.mx", "com.tr", "com.cn", "com.tw", "com.hk",
+)
+
 
 def _rest(url: Column) -> Column:
     """What follows the first ``://``; empty without it."""
@@ -61,6 +69,10 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return name, verdict
 
 
+def without_port(host: Column) -> Column:
+    return F.regexp_replace(host, ":[0-9]*$", "")
+
+
 def suffix_of(host: Column, double_suffixes: Sequence[str] = ()) -> Column:
     two = F.substring_index(host, ".", -2)
     one = F.substring_index(host, ".", -1)
@@ -92,9 +104,9 @@ def strength(n: float, k: float, square: float, weight: float, groups: int) -> f
 
 
 def host_reputation(
-    pages: DataFrame, labels: DataFrame, sigmas: float = 1.645, double_suffixes: Sequence[str] = ()
+    pages: DataFrame, labels: DataFrame, sigmas: float = 1.0, double_suffixes: Sequence[str] = DOUBLE_SUFFIXES
 ) -> DataFrame:
-    """host, n, k, bad_rate and lower_bound for every host of ``pages`` (page_id, host).
+    """host, n, k, bad_rate, lower_bound and suffix_rate for every host of ``pages`` (page_id, host).
 
     ``labels`` (page_id, bad) tells outcomes; a page with several labels is bad if one is. n labelled pages of a
     host, k of them bad. A host without labels has its domain's rate.
@@ -103,11 +115,12 @@ def host_reputation(
     counted = pages.join(marks, "page_id", "left").groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("bigint")), F.lit(0)).alias("k")
     )
+    name = without_port(F.col("host"))
     hosts = counted.select(
-        "*",
-        domain_of(F.col("host"), double_suffixes).alias("domain"),
-        suffix_of(F.col("host"), double_suffixes).alias("suffix"),
+        "*", domain_of(name, double_suffixes).alias("domain"), suffix_of(name, double_suffixes).alias("suffix")
     )
+    # Stored: each of the sums below would join pages and labels again.
+    hosts = stored(hosts, "hosts")
     summed = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = hosts.groupBy("domain", "suffix").agg(*summed)
     suffixes = domains.groupBy("suffix").agg(*summed)
@@ -122,27 +135,29 @@ def host_reputation(
         return (prior * F.lit(size) + F.col("k")) / (F.lit(size) + F.col("n"))
 
     above = suffixes.select("suffix", shrunk(F.lit(rate), sizes[0][1]).alias("suffix_rate"))
-    above = domains.join(above, "suffix").select("domain", shrunk(F.col("suffix_rate"), sizes[1][1]).alias("domain_rate"))
+    above = domains.join(above, "suffix").select("domain", "suffix_rate", shrunk(F.col("suffix_rate"), sizes[1][1]).alias("domain_rate"))
     size = F.lit(sizes[2][1]) + F.col("n")
     mean = shrunk(F.col("domain_rate"), sizes[2][1])
     judged = hosts.join(above, "domain").withColumn("bad_rate", mean)
     deviation = F.sqrt(F.col("bad_rate") * (1 - F.col("bad_rate")) / (size + 1))
-    return judged.select("host", "n", "k", "bad_rate", (F.col("bad_rate") - sigmas * deviation).alias("lower_bound"))
+    bound = F.col("bad_rate") - sigmas * deviation
+    return judged.select("host", "n", "k", "bad_rate", bound.alias("lower_bound"), "suffix_rate")
 
 
 def judge_pages(
     pages: DataFrame,
     labels: DataFrame,
     rules: Sequence[tuple[str, str]] = RULES,
-    max_bad: float = 0.5,
-    sigmas: float = 1.645,
-    double_suffixes: Sequence[str] = (),
+    max_bad: float | None = None,
+    sigmas: float = 1.0,
+    double_suffixes: Sequence[str] = DOUBLE_SUFFIXES,
     links: DataFrame | None = None,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, bad_rate and lower_bound for every row of ``pages`` (page_id, url).
 
     A rule is a host, with its subdomains, and the start of a path; the longest that fits decides.
-    Without one, a page is blocked if the lower bound of its host's bad rate exceeds ``max_bad``.
+    Without one, a page is blocked if the lower bound of its host's bad rate, ``sigmas`` deviations below
+    its mean, exceeds the rate of the host's suffix, or ``max_bad`` if that is given.
     A null url, or one without ``://``, has an empty host, which is a host like others. ``labels``
     (page_id, bad) may be empty: all rates are then one half and nothing is blocked by them.
     Repeated rows are judged alike and stay; a null page_id has no label. With ``links`` (page_id, doc_id)
@@ -153,7 +168,8 @@ def judge_pages(
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     known = host_reputation(rows.select("page_id", "host"), labels, sigmas, double_suffixes)
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    learned = F.when(F.col("lower_bound") > max_bad, "block").otherwise("allow")
+    limit = F.col("suffix_rate") if max_bad is None else F.lit(max_bad)
+    learned = F.when(F.col("lower_bound") > limit, "block").otherwise("allow")
     return rows.join(known, "host").select(
         "page_id",
         "host",

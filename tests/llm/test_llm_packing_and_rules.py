@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import llm_brute as brute
@@ -17,7 +18,16 @@ from barlake.llm.packing import (
 )
 from barlake.llm.sharding import lpt, shard_documents
 from barlake.llm.token_counts import SPACE, PieceTrie, token_counts, zipf_pieces
-from barlake.llm.url_filter import RULES, judge_pages, links_by_number, strength
+from barlake.llm.url_filter import (
+    DOUBLE_SUFFIXES,
+    RULES,
+    domain_of,
+    judge_pages,
+    links_by_number,
+    strength,
+    suffix_of,
+    without_port,
+)
 
 ROWS = brute.documents(2)
 
@@ -268,6 +278,28 @@ def test_labels_reach_pages_by_their_document(spark):
     assert {tuple(r) for r in got} == {("bad.one.net", "block"), ("good.two.net", "allow"), ("", "allow")}
 
 
+def test_ports_and_double_suffixes(spark):
+    hosts = ["a.b.co.uk:8080", "b.co.uk", "co.uk", "x.uk:1", "a.example.com", "com:80", ""]
+    name = without_port(F.col("host"))
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string").select(
+        domain_of(name, DOUBLE_SUFFIXES), suffix_of(name, DOUBLE_SUFFIXES)
+    )
+    assert [tuple(r) for r in rows.collect()] == [
+        ("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("x.uk", "uk"), ("example.com", "com"), ("com", "com"), ("", "")
+    ]
+
+
+def test_a_host_is_judged_by_the_rate_of_its_suffix(spark):
+    """A third of all pages is bad: only the host far above that is blocked, also where most of its pages are good."""
+    bad = {"worse.one.net": 45, "usual.two.net": 30, "usual.six.net": 30, "better.ten.net": 15}
+    pages = [(100 * h + i, f"http://{host}/{i}") for h, host in enumerate(bad) for i in range(100)]
+    labels = [(100 * h + i, i < k) for h, k in enumerate(bad.values()) for i in range(100)]
+    judged = judge_pages(
+        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")
+    ).select("host", "verdict").distinct()
+    assert {tuple(r) for r in judged.collect()} == {(h, "block" if "worse" in h else "allow") for h in bad}
+
+
 # Pipeline
 
 
