@@ -223,10 +223,12 @@ def remove_repeated_passages(
         "runs",
     )
     seen = runs.groupBy("minimiser").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    runs = stored(runs.join(seen.filter("first < last"), "minimiser", "left_semi"), "shared-runs")
+    # Stored, here and below: next to an aggregate on its key, adaptive execution would not split a hot key of the join.
+    seen = stored(seen.filter("first < last").select("minimiser"), "shared-minimisers")
+    runs = stored(runs.join(seen, "minimiser", "left_semi"), "shared-runs")
     key = ["minimiser", "packed"]
     strings = runs.groupBy(*key).agg(F.min(F.struct("doc_id", "start", "windows")).alias("one")).select(*key, "one.*")
-    counts = strings.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(strings.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n")), "string-counts")
     strings = stored(strings.join(counts, "minimiser"), "strings")
     span = F.struct(F.lit(0).alias("place"), "windows", F.col("doc_id").alias("holder"))
     alone = strings.filter("n = 1").select(*key, F.array(span).alias("spans"))
@@ -242,7 +244,7 @@ def remove_repeated_passages(
         .mapInArrow(_bucket(window), "minimiser bigint, packed bigint, spans array<struct<place:int,windows:int,holder:bigint>>")
     )
     single = sent.filter("hot").select(*key, "place", "holder", "w1", "w2")
-    least = single.groupBy("w1", "w2").agg(F.min("holder").alias("least"))
+    least = stored(single.groupBy("w1", "w2").agg(F.min("holder").alias("least")), "least-holders")
     single = (
         single.join(least, ["w1", "w2"])
         .groupBy(*key)

@@ -221,3 +221,36 @@ def test_pairs_of_near_documents_share_a_band():
         sets = [np.append(base, rng.integers(0, 2**63, 30, dtype=np.uint64)) for _ in range(2)]
         keys = band_keys(np.stack([min_max(s) for s in sets]), band_rows(85))
         assert (keys[0] == keys[1]).any()
+
+
+def test_a_hot_minimiser_is_split(spark, monkeypatch):
+    """Nine tenths of the runs on one minimiser: the join that keeps shared runs gives them to several tasks."""
+    from barlake.llm import substring_dedup
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    store, plans = substring_dedup.stored, {}
+
+    def watched(rows, name, *parts):
+        if name == "shared-runs":
+            rows.collect()
+            plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return store(rows, name, *parts)
+
+    monkeypatch.setattr(substring_dedup, "stored", watched)
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, passage + f" tail{i}") for i in range(6000)]
+    rows += [(6000 + i, " ".join(f"x{i % 300}y{k}" for k in range(60))) for i in range(600)]
+    try:
+        got = remove_repeated_passages(spark.createDataFrame(rows, brute.SCHEMA).repartition(8))
+        assert got.filter("n_removed = 60").count() == 5999 + 300
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert "SortMergeJoin(skew=true)" in plans["shared-runs"]
