@@ -3,15 +3,14 @@
 Token counts come from a public tokenizer. Pieces are dealt into groups of bounded size
 and each group is packed by branch and bound: the largest piece left opens a sequence,
 all undominated fillings of the rest of the sequence are tried in the order of the waste they leave, and a
-branch ends when its waste can no longer beat the best packing known, at first best-fit decreasing. Only the
-effort of the search is bounded: when it is used up, the best packing known so far stays.
+branch ends when its waste can no longer beat the best packing known: at first best-fit decreasing, or a single way down the tree
+that best-fit finishes where effort ends. Only the effort of the search is bounded: when it is used up, the best packing known so far stays.
 """
 
 from __future__ import annotations
 
 import math
 import os
-import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -20,6 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .storage import stored
@@ -32,14 +32,15 @@ CAPACITY = 2048
 
 #: A word that the tokenizer splits into its letters, lower-cased, and its punctuation. Other
 #: words are given to the tokenizer as they are.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SIMPLE = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 _WORD_END = "</w>"
 
 
 class TokenIds:
     """Ids of texts by a word-end BPE tokenizer, which treats words between blanks alone.
 
-    Each distinct word is encoded once; the store is emptied when it holds ``limit`` words.
+    Arrow splits the texts and numbers their distinct words; each distinct run of letters or marks is given to the
+    tokenizer once. The store of runs is emptied when it holds ``limit`` of them.
     """
 
     def __init__(self, path: str, limit: int = 1_000_000):
@@ -49,11 +50,7 @@ class TokenIds:
         size = self._tokenizer.get_vocab_size()
         self._ends = np.array([(self._tokenizer.id_to_token(i) or "").endswith(_WORD_END) for i in range(size)])
         self._limit = limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self._words: dict[bytes, bytes] = {}
-        self._pieces: dict[str, bytes] = {"": b""}
+        self._known: dict[str, bytes] = {"": b""}
 
     def _encode(self, words: Sequence[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(list(words), add_special_tokens=False)
@@ -69,30 +66,37 @@ class TokenIds:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip([0, *stops], stops)]
 
-    def _learn(self, words: Sequence[bytes]) -> None:
-        parts = [_SIMPLE.fullmatch(w.decode("utf-8", "replace")) for w in words]
-        simple = [(w, m[1].lower(), m[2]) for w, m in zip(words, parts) if m]
-        rest = [w for w, m in zip(words, parts) if not m]
-        new = {letters for _, letters, _ in simple} | {marks for _, _, marks in simple}
-        new = list(new - self._pieces.keys())
+    def _ids(self, runs: pa.Array, encode: Callable[[list[str]], list[bytes]]) -> pa.Array:
+        """Ids of each run as bytes. A run of marks has the same ids alone and after letters, so that one store serves all."""
+        coded = runs.dictionary_encode()
+        distinct = [x.decode("utf-8", "replace") for x in coded.dictionary.view(pa.large_binary()).to_pylist()]
+        if len(self._known) + len(distinct) > self._limit:
+            self._known = {"": b""}
+        new = list({x for x in distinct if x not in self._known})
         if new:
-            self._pieces.update(zip(new, self._encode_pieces(new)))
-        pieces = self._pieces
-        self._words.update((word, pieces[letters] + pieces[marks]) for word, letters, marks in simple)
-        if rest:
-            self._words.update(zip(rest, self._encode([w.decode("utf-8", "replace") for w in rest])))
+            self._known.update(zip(new, encode(new)))
+        return pa.array([self._known[x] for x in distinct], pa.large_binary()).take(coded.indices)
+
+    def _ids_of_words(self, words: pa.Array) -> pa.Array:
+        parts = pc.extract_regex(words, _SIMPLE)
+        letters = pc.utf8_lower(pc.fill_null(pc.struct_field(parts, "letters"), ""))
+        ids = [self._ids(x, self._encode_pieces) for x in (letters, pc.fill_null(pc.struct_field(parts, "marks"), ""))]
+        ids = pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
+        others = pc.is_null(parts)
+        if pc.any(others).as_py():
+            ids = pc.replace_with_mask(ids, others, self._ids(words.filter(others), self._encode))
+        return ids
 
     def __call__(self, texts: Sequence[bytes]) -> list[np.ndarray]:
-        words = [t.split() for t in texts]
-        asked = set().union(*words)
-        unknown = asked - self._words.keys()
-        if len(self._words) + len(unknown) > self._limit and self._words:
-            self._clear()
-            unknown = asked
-        if unknown:
-            self._learn(list(unknown))
-        known = self._words.__getitem__
-        return [np.frombuffer(b"".join(map(known, doc)), dtype="<u4") for doc in words]
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        words = lists.flatten().dictionary_encode()
+        if not len(words):
+            return [np.empty(0, "<u4") for _ in texts]
+        ids = self._ids_of_words(words.dictionary).take(words.indices)
+        stops = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1] // 4
+        stops = stops[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        data = np.frombuffer(ids.buffers()[2] or b"", dtype="<u4")
+        return [data[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist())]
 
 
 _loaded: dict[str, TokenIds] = {}
@@ -280,11 +284,13 @@ class _Left:
 
     def few(self, room: int, waste: int, one: int) -> Iterator[tuple[int, ...]]:
         """Fillings of up to three pieces; the search adds smaller ones that still fit."""
-        for total in range(room, max(one, room - waste - 1), -1):
+        least = (self.up & -self.up).bit_length() - 1
+        for total in range(room, max(one, room - waste - 1, 2 * least - 1), -1):
             if self.effort <= 0:
                 return
             yield from self.pairs(total)
-            yield from self.triples(total)
+            if total >= 3 * least:
+                yield from self.triples(total)
         if room - one <= waste or self.up & ((1 << (room - one + 1)) - 1):
             yield (one,)
 
@@ -315,15 +321,98 @@ class _Left:
             yield ()
 
 
-def bin_completion(counts: Counter, capacity: int, effort: int = 500_000) -> list[list[int]]:
-    """Sequences as lists of sizes. ``effort`` bounds the search for fillings, not the pieces placed.
+def _classes(counts: Counter, capacity: int) -> Iterator[tuple[int, list[int], int]]:
+    """Classes of pieces of which ``k`` fill a sequence badly and ``k + 1`` of the smaller ones fill it well.
 
-    Up to half of it goes to fillings of few pieces, which keep small pieces for later; the rest to
-    all fillings. The result is optimal if effort is left.
+    Taking the largest piece with the smallest ones wastes the latter there; the larger pieces of the class should go ``k`` to a
+    sequence. Each class has ``k``, its sizes upwards, and a first guess where the larger ones begin: up to there
+    the mean is ``capacity / (k + 1)``.
     """
+    sizes = np.repeat(sorted(counts), [counts[s] for s in sorted(counts)])
+    for k in (2, 3, 4):
+        low, high = np.searchsorted(sizes, [capacity // (k + 2) + 1, capacity // k], side="right")
+        own = sizes[low:high]
+        if len(own) > k and own[0] * (k + 1) <= capacity < own[-1] * (k + 1):
+            means = np.cumsum(own) / np.arange(1, len(own) + 1)
+            yield k, own.tolist(), int(np.searchsorted(means, capacity / (k + 1), side="right"))
+
+
+def _dive(counts: Counter, capacity: int, effort: int) -> tuple[list[list[int]], int]:
+    """A packing by one way down the tree: each sequence takes its first filling; best-fit places what effort leaves."""
+    left = _Left(counts, capacity, effort)
+    bins: list[list[int]] = []
+    while left.up and left.effort > 0:
+        first = left.largest(capacity)
+        left.take(first)
+        own = [first]
+        room = capacity - first
+        for size in next(left.fillings(room, room, False), ()):
+            left.take(size)
+            own.append(size)
+            room -= size
+        while (more := left.largest(room)) >= 0:
+            left.take(more)
+            own.append(more)
+            room -= more
+        bins.append(own)
+    rest = Counter({size: n for size, n in enumerate(left.counts) if n})
+    return bins + best_fit_decreasing(rest, capacity), left.effort
+
+
+def _clustered_dive(
+    counts: Counter, capacity: int, effort: int, pieces: Sequence[int], k: int
+) -> tuple[list[list[int]], int]:
+    """A dive in which ``pieces``, sorted, go ``k`` to a sequence; smaller pieces can still join them."""
+    own, names = counts.copy(), {}
+    for i in range(len(pieces) % k, len(pieces), k):
+        together = pieces[i : i + k]
+        own.subtract(together)
+        names.setdefault(sum(together), []).append(list(together))
+    own = +own
+    own.update({size: len(found) for size, found in names.items()})
+    bins, effort = _dive(own, capacity, effort)
+    return [[x for size in b for x in (names[size].pop() if names.get(size) else [size])] for b in bins], effort
+
+
+def _incumbent(counts: Counter, capacity: int, effort: int, bound: int) -> list[list[int]]:
+    """The best of best-fit decreasing and of dives with and without clusters of large pieces."""
     best = best_fit_decreasing(counts, capacity)
+    if len(best) <= bound:
+        return best
+    found, left = _dive(counts, capacity, effort // 4)
+    effort -= effort // 4 - max(0, left)
+    best = min(best, found, key=len)
+    classes = list(_classes(counts, capacity))
+    for number, (k, sizes, cut) in enumerate(classes):
+        share = effort // (len(classes) - number)
+        tried: dict[int, int] = {}
+        step = len(sizes) // 8
+        while step and share > 0 and len(best) > bound:
+            for at in (cut, cut - step, cut + step):
+                if at in tried or not 0 <= at <= len(sizes) - k or share <= 0:
+                    continue
+                found, left = _clustered_dive(counts, capacity, share // 2 + 1, sizes[at:], k)
+                spent = share // 2 + 1 - max(0, left)
+                share, effort = share - spent, effort - spent
+                tried[at] = len(found)
+                best = min(best, found, key=len)
+            if not tried:
+                break
+            nearest = min(tried, key=tried.get)
+            step, cut = (step // 2, nearest) if nearest == cut else (step, nearest)
+    return best
+
+
+def bin_completion(counts: Counter, capacity: int, effort: int = 1_000_000) -> list[list[int]]:
+    """Sequences as lists of sizes. ``effort`` bounds the search for fillings, not the pieces placed.
+
+    Half of it at most goes to first packings, a quarter to fillings of few pieces, which keep small pieces for
+    later; the rest to all fillings. A search that effort interrupts leaves the best packing known. The result is optimal if effort is left.
+    """
     bound = lower_bound(counts, capacity)
+    best = _incumbent(counts, capacity, effort // 2, bound)
     total = sum(s * n for s, n in counts.items())
+    effort -= effort // 2
     kept = effort // 2
     for whole in (False, True):
         effort = effort + kept if whole else effort - kept

@@ -159,6 +159,24 @@ def check_packing(rows, placed, tokenizer, capacity):
     return len(sequences)
 
 
+@pytest.mark.parametrize(("low", "high", "share"), [(600, 800, 0.93), (400, 700, 0.95), (300, 900, 0.985)])
+def test_bin_completion_beats_best_fit_where_large_pieces_should_go_together(low, high, share):
+    rng = random.Random(1)
+    counts = Counter(rng.randint(low, high) for _ in range(16_384))
+    found = bin_completion(counts, 2048)
+    assert Counter(s for b in found for s in b) == counts and max(map(sum, found)) <= 2048
+    assert len(found) <= share * len(best_fit_decreasing(counts, 2048))
+
+
+def test_token_ids_of_odd_bytes_and_no_words(tokenizer):
+    ids = TokenIds(default_tokenizer())
+    assert [x.tolist() for x in ids([b"", b"  ", b"\n"])] == [[], [], []] and ids([]) == []
+    odd = [b"\xff\xfe a", b" lead\x0btrail ", "ABC!! é;; 世界 x\x1cy z\xa0q a<|endoftext|>".encode()]
+    for text, found in zip(odd, ids(odd)):
+        want = [i for w in text.split() for i in tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids]
+        assert found.tolist() == want
+
+
 @pytest.mark.parametrize("group_pieces", [16_384, 9])
 def test_packing(docs, tokenizer, group_pieces):
     placed = pack_documents(docs, capacity=256, group_pieces=group_pieces).collect()
