@@ -11,8 +11,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) for every node of ``edges`` (a, b; long).
 
     Each round writes the edges to the shared folder, and only their number and a checksum come to the
-    driver. The number of rounds grows with the logarithm of the longest chain. Joins on a
-    node with many edges are split by adaptive execution. Loops and repeated edges do no harm.
+    driver. The number of rounds grows with the logarithm of the longest chain. Each join is between stored
+    tables, so that adaptive execution splits a node with many edges. Loops and repeated edges do no harm.
     """
     edges = stored(_directed(edges.select("a", "b")), "edges")
     before = None
@@ -39,12 +39,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is hung on the smallest node around it."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stored(least, "least")
     larger = both.filter("b > a").join(least, "a")
     return _directed(larger.select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are hung on the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     near = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _directed(near.unionAll(least.select("a", F.col("m").alias("b"))))

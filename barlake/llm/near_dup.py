@@ -185,8 +185,10 @@ def near_duplicate_groups(
         ),
         "signatures",
     )
-    # Equal sets are one node, named by their smallest doc_id.
+    # Equal sets are one node, named by their smallest doc_id. Here and below aggregates are stored before
+    # they are joined: only between scans does adaptive execution split a hot key.
     equal = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
+    equal = stored(equal, "equal")
     nodes = stored(
         signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .join(equal, ["k1", "k2"])
@@ -195,10 +197,11 @@ def near_duplicate_groups(
     )
     banded = nodes.filter("bands IS NOT NULL").select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("last"))
-    near = banded.join(shared.filter("center < last").select("band", "center"), "band").filter("node <> center")
+    shared = stored(shared.filter("center < last").select("band", "center"), "shared")
+    near = banded.join(shared, "band").filter("node <> center")
     clusters = stored(connected_components(near.select(F.col("node").alias("a"), F.col("center").alias("b"))), "clusters")
     links = _links(named, nodes, clusters, shingle, percent, chunk_docs, chunk_shingles)
-    roots = connected_components(links)
+    roots = stored(connected_components(links), "roots")
     groups = nodes.select("doc_id", "node").join(roots, "node", "left")
     groups = groups.groupBy("doc_id").agg(F.min(F.coalesce("root", "node")).alias("component_id"))
     return signed.join(groups, "doc_id", "left").select(
@@ -208,10 +211,10 @@ def near_duplicate_groups(
 
 def _links(docs, nodes, clusters, shingle, percent, chunk_docs, chunk_shingles) -> DataFrame:
     """Confirmed links (a, b): a spanning forest of each block."""
-    members = nodes.filter("bands IS NOT NULL").select("node", "n_shingles").join(clusters, "node")
+    members = stored(nodes.filter("bands IS NOT NULL").select("node", "n_shingles").join(clusters, "node"), "members")
     weight = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
     chunks = F.ceil(F.greatest(F.col("n") / chunk_docs, F.col("shingles") / chunk_shingles)).cast("int")
-    members = members.join(weight.select("root", chunks.alias("chunks")), "root").select(
+    members = members.join(stored(weight.select("root", chunks.alias("chunks")), "weight"), "root").select(
         "node", "root", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")
     )
     # A set meets its own chunk once and each other chunk once.
