@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from barlake.functions import archive_name, landed_path, month_bounds, month_of, task_id, to_bars
 from barlake.operators import (
     append_bars,
+    compact_months,
     create_bar_table,
     create_landing_table,
+    land_archives,
     land_raw,
     loaded_months,
     merge_actions,
@@ -43,6 +45,7 @@ from barlake.session import shared_dir
 from barlake.sources import (
     file_manifest,
     landed_units,
+    quarantine_bars,
     read_symbols,
     scan_bars_csv,
     scan_named_files,
@@ -253,6 +256,28 @@ def unzip_klines(spark, sf_dir):
     return unzip_bars(archives).select(*RAW_COLUMNS)
 
 
+# Twelve fields; some orders have one too many or too few, some a letter for a price, some no time.
+_LINES = """
+    SELECT concat_ws(',',
+               CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE concat(o_orderkey, '') END,
+               CASE WHEN o_orderstatus = 'P' THEN 'x' ELSE concat(o_custkey, '') END,
+               o_custkey, o_custkey, o_custkey, o_custkey, o_orderkey, o_custkey, o_custkey, o_custkey, o_custkey,
+               CASE o_orderstatus WHEN 'O' THEN '0,1' ELSE '0' END) AS text,
+           CASE WHEN o_orderstatus = 'O' THEN 'fields' WHEN o_orderstatus = 'P' THEN 'value' END AS reason
+    FROM orders WHERE o_orderkey % 11 <> 0 OR o_orderstatus <> 'F'
+"""
+
+
+def scan_kline_rejects(spark, sf_dir):
+    path = shared_dir(spark, "lines")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lines = spark.sql(_LINES.replace("FROM orders", "FROM {orders}"), orders=orders)
+    lines.select("text").write.text(path)
+    checked = quarantine_bars(spark, path)
+    good = checked.good.select(F.col("open_time_ms").cast("string").alias("text"), F.lit("good").alias("reason"))
+    return checked.rejects.select("text", "reason").unionAll(good)
+
+
 def symbol_list(spark, sf_dir):
     """A list file with one entry per order, padded, and comment and blank lines between."""
     path = shared_dir(spark, "symbols")
@@ -411,6 +436,55 @@ def land_force(spark, sf_dir):
     return _landed_rows(spark, landing)
 
 
+def _archives(spark: SparkSession, sf_dir: str, unit: str, later_days: int = 0) -> str:
+    """One ZIP archive per unit, named by it, in the shared folder."""
+    root = shared_dir(spark, "archives")
+
+    def write_zip(group):
+        import io
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow import csv, fs
+
+        symbol, year, month = (group.column(c)[0].as_py() for c in ("symbol", "year", "month"))
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("bars.csv", "w") as member:
+            csv.write_csv(group.drop_columns(["symbol", "year", "month"]), member, csv.WriteOptions(include_header=False))
+        store, folder = fs.FileSystem.from_uri(root)
+        store.create_dir(folder)
+        with store.open_output_stream(f"{folder}/{symbol}-1m-{year}-{month}.zip") as file:
+            file.write(out.getvalue())
+        return pa.table({"n": pa.array([1], pa.int64())})
+
+    rows = _raw(spark, sf_dir, unit, later_days).select(*RAW_COLUMNS, *UNIT_COLUMNS)
+    rows.groupBy(*UNIT_COLUMNS).applyInArrow(write_zip, "n bigint").agg(F.sum("n")).collect()
+    return root
+
+
+def land_archives_query(spark, sf_dir):
+    landing = _landed(spark, sf_dir, "ms")
+    land_archives(spark, landing, _archives(spark, sf_dir, "ms", _FAR))
+    return _landed_rows(spark, landing)
+
+
+def compact_months_query(spark, sf_dir):
+    """Three appends, compacted: rows, files and rows stored behind a later row, per month."""
+    table = _new_table(spark)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("trades"), "o_orderstatus")
+    for status in "FOP":
+        rows = _raw(spark, sf_dir, "us").join(orders.filter(F.col("o_orderstatus") == status), "trades", "left_semi")
+        append_bars(spark, table, to_bars(rows, "us"))
+    compact_months(spark, table)
+    rows = spark.table(table).select(
+        MONTH_COLUMN, "event_time", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    before = F.lag("event_time").over(Window.partitionBy("file").orderBy("row"))
+    return rows.withColumn("unsorted", before > F.col("event_time")).groupBy(_text(MONTH_COLUMN)).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("files"), F.count_if("unsorted").alias("unsorted")
+    )
+
+
 # --------------------------------------------------------------------------
 # Flows
 
@@ -467,6 +541,15 @@ def backfill_run_query(spark, sf_dir):
     return _table_rows(spark, table, "symbol")
 
 
+def backfill_run_archives(spark, sf_dir):
+    """From archives to the table in one call."""
+    table = _loaded(spark, sf_dir, with_symbol=True)
+    landing, _ = _new_landing(spark)
+    archives = _archives(spark, sf_dir, "us", _FAR)
+    backfill_run(spark, landing, table, _plan(spark, sf_dir, _FAR), archives, _BY_SYMBOL, "us")
+    return _table_rows(spark, table, "symbol")
+
+
 def backfill_first_load(spark, sf_dir):
     """Every unit into an empty table: no join takes place."""
     table = _new_table(spark, with_symbol=True)
@@ -619,6 +702,10 @@ def _bar_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "named_file_manifest": named_file_manifest,
         "month_status_after_loss": month_status_after_loss,
         "load_mixed_time_units": load_mixed_time_units,
+        "scan_kline_rejects": scan_kline_rejects,
+        "land_archives": land_archives_query,
+        "backfill_run_archives": backfill_run_archives,
+        "compact_months": compact_months_query,
     }
 
 
@@ -749,4 +836,11 @@ def _bar_oracle_sql() -> dict[str, str]:
         "month_status_after_loss": f"{us} SELECT DISTINCT event_month, CASE WHEN event_month = '{year}-{month}-01' "
         "THEN 'MISSING' ELSE 'EXISTS' END AS status FROM k",
         "load_mixed_time_units": f"{ms} SELECT {_VALUES}, event_time, symbol FROM k",
+        "scan_kline_rejects": "SELECT CASE WHEN reason IS NULL THEN split_part(text, ',', 1) ELSE text END AS text, "
+        f"coalesce(reason, 'good') AS reason FROM ({_LINES})",
+        "land_archives": f"{ms_far} {landed} k UNION ALL {landed} r a "
+        f"WHERE NOT EXISTS (SELECT 1 FROM k b WHERE {same_unit})",
+        "backfill_run_archives": us_far + _merged(by_symbol, extra=", symbol"),
+        "compact_months": f"{us} SELECT event_month, count(*) AS n, cast(1 AS bigint) AS files, cast(0 AS bigint) AS unsorted "
+        "FROM k GROUP BY event_month",
     }

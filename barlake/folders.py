@@ -16,6 +16,11 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in system.globStatus(path) or ()]
 
 
+def as_pattern(path: str) -> str:
+    """A path as a pattern that matches it alone."""
+    return "".join(f"\\{ch}" if ch in "{},*?[]\\" else ch for ch in path)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     system, path = _system(spark, path)
     system.create(path, True).close()
@@ -24,3 +29,9 @@ def touch(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     system, path = _system(spark, path)
     system.delete(path, True)
+
+
+def lengths(spark: SparkSession, pattern: str) -> list[int]:
+    """Bytes of each file that a pattern matches."""
+    system, path = _system(spark, pattern)
+    return [status.getLen() for status in system.globStatus(path) or () if status.isFile()]

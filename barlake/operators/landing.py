@@ -9,7 +9,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barlake.folders import matching
+from barlake.folders import as_pattern, matching
 from barlake.operators.table import clustered, current, ensure_table, table_location
 from barlake.schema import RAW_COLUMNS, RAW_SCHEMA, UNIT_COLUMNS
 from barlake.sources.archives import archive_manifest, read_archives, unzip_lines
@@ -115,11 +115,6 @@ def _unit_of(folder: str) -> tuple[str, ...]:
     return tuple(unquote(part.partition("=")[2]) for part in folder.split("/")[-len(UNIT_COLUMNS) :])
 
 
-def as_pattern(path: str) -> str:
-    """A path as a pattern that matches it alone."""
-    return "".join(f"\\{ch}" if ch in "{},*?[]\\" else ch for ch in path)
-
-
 def escaped(value: str) -> str:
     """A partition value as its folder spells it, safe in a path pattern."""
     special = "\"#%'*/:=?\\{[]^"
